@@ -50,7 +50,7 @@ class ParquetWriter:
 
 
 class CsvWriter:
-    """CSV with a header, in the formats ``read_csv`` expects."""
+    """CSV with a header, in the formats ``read_csv`` expects; padding is kept."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
@@ -62,6 +62,8 @@ class CsvWriter:
             "header": "true",
             "dateFormat": "yyyy-MM-dd",
             "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+            "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false",
             "sep": sep,
         }
         write_files(df, path, "csv", mode, options={**defaults, **options})
