@@ -170,7 +170,7 @@ class SnapshotTable:
         observe: Callable[[DataFrame], DataFrame] | None = None,
     ) -> list[str]:
         """Write rows to a new folder; the folders, one per partition value."""
-        folder = f"{_BATCH}=b{uuid.uuid4().hex}"
+        folder = f"{_BATCH}=b{uuid.uuid4().hex[:16]}"
         laid_out = rebalance(df, partition_by)
         writer = (observe(laid_out) if observe else laid_out).write
         if partition_by:
@@ -334,21 +334,20 @@ class SnapshotTable:
         self, current: Snapshot, source: DataFrame, keys: list[str], null_safe: bool
     ) -> list[str]:
         """Folders that hold a key of the source. Reads the key columns only."""
-        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("__folder")
-        target = self._scan(current.folders, current.schema)
         if not current.folders:
             return []
-        target = target.select(*map(named, keys), folder)
+        target = self._scan(current.folders, current.schema).select(
+            *map(named, keys), F.col("_metadata.file_path").alias("__file")
+        )
         wanted = source.select(*map(named, keys))
         if not null_safe:
             target, wanted = target.filter(_all_set(keys)), wanted.filter(_all_set(keys))
         on = _matches(keys, null_safe, salted=False)
         hits = target.alias("target").join(wanted.alias("source"), on, "left_semi")
+        folder = F.regexp_extract("__file", "^(.*)/[^/]*$", 1)
+        hit_folders = hits.select("__file").distinct().select(folder).distinct()
         depth = 1 + len(current.partition_by)
-        found = {
-            "/".join(unquote(row[0]).split("/")[-depth:])
-            for row in hits.select("__folder").distinct().collect()
-        }
+        found = {"/".join(unquote(row[0]).split("/")[-depth:]) for row in hit_folders.collect()}
         return [f for f in current.folders if f in found]
 
     def _salted(self, folders: list[str], schema: T.StructType, keys: list[str]) -> DataFrame:
