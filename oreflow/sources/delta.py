@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from oreflow.sources.paths import sql_text
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -40,7 +42,8 @@ class DeltaTable:
         return True
 
     def register(self, name: str) -> None:
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION '{self.path}'")
+        location = sql_text(self.path)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION {location}")
 
     def read(self, version: int | None = None, timestamp: str | None = None) -> DataFrame:
         reader = self.spark.read.format("delta")

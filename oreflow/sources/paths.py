@@ -13,6 +13,11 @@ def zone_path(base: str, zone: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *(p.strip("/") for p in (zone, *parts) if p)])
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared ``spark.checkpoint.dir``.
 

@@ -29,10 +29,11 @@ from pyspark.sql import types as T
 from oreflow.functions.columns import named
 from oreflow.functions.layout import rebalance
 from oreflow.sources.delta import DeltaTable, Staged, has_delta
-from oreflow.sources.paths import create_text, list_folders, list_names, read_text
+from oreflow.sources.paths import create_text, list_folders, list_names, read_text, sql_text
 
 _BATCH = "_batch"
 _SALTS = 1024
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
 
 
 class MergeConflictError(ValueError):
@@ -477,7 +478,7 @@ class SnapshotTable:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*columns, *keys])
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) LOCATION '{self.path}'"
+            f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) LOCATION {sql_text(self.path)}"
         )
         known = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
         for gone in sorted(known - set(current.folders)):
@@ -485,7 +486,7 @@ class SnapshotTable:
         fresh = [f for f in current.folders if f not in known]
         for start in range(0, len(fresh), 500):
             specs = " ".join(
-                f"PARTITION ({_spec(f)}) LOCATION '{self.path}/{f}'"
+                f"PARTITION ({_spec(f)}) LOCATION {sql_text(f'{self.path}/{f}')}"
                 for f in fresh[start : start + 500]
             )
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
@@ -493,8 +494,11 @@ class SnapshotTable:
 
 def _spec(folder: str) -> str:
     """``a=1/b=x`` as the partition clause ``a='1', b='x'``."""
-    pairs = (part.split("=", 1) for part in folder.split("/"))
-    return ", ".join(f"`{name}`='{unquote(value)}'" for name, value in pairs)
+    pairs = [part.split("=", 1) for part in folder.split("/")]
+    return ", ".join(
+        f"`{name}`=" + ("null" if value == _NO_VALUE else sql_text(unquote(value)))
+        for name, value in pairs
+    )
 
 
 def _matches(keys: list[str], null_safe: bool, salted: bool) -> Column:

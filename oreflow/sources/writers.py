@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.layout import rebalance
+from oreflow.sources.paths import sql_text
 from oreflow.sources.snapshots import versioned_table
 
 
@@ -127,5 +128,4 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
 
 def register_table(spark: SparkSession, name: str, path: str, format: str = "parquet") -> None:
     """Make a path readable as ``name`` or ``database.name``. Does nothing if it is."""
-    location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {format} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {format} LOCATION {sql_text(path)}")
