@@ -119,10 +119,14 @@ def load_silver(
     partition_by: list[str] | None = None,
     dq_path: str | None = None,
     table_name: str | None = None,
+    unique_source: bool = False,
 ) -> RunMetrics:
-    """Clean, stage, check, gate, upsert; then store the check results and register the
-    table if asked to. With a closed gate the silver table is left as it was, but the
-    check results are stored all the same."""
+    """Clean, stage, check, store the results, gate, upsert, register the table.
+
+    With a closed gate the silver table is left as it was; the check results are stored
+    all the same. ``unique_source`` says that ``clean`` leaves one row per merge key, so
+    the merge need not look for repeated keys.
+    """
     spark = raw.sparkSession
     metrics = RunMetrics(job, rows_read=raw.count())
     table = versioned_table(spark, silver_path)
@@ -142,8 +146,7 @@ def load_silver(
         checks.persist_results(spark, dq_path)
     if fail_on_error:
         checks.assert_no_failures()
-    # The cleaning step keeps one row per key, so the merge need not look again.
-    table.upsert(staged, merge_keys, unique_source=True)
+    table.upsert(staged, merge_keys, unique_source=unique_source)
     if table_name:
         table.register(table_name)
     return metrics.finish()
@@ -157,6 +160,7 @@ def load_orders(raw: DataFrame, silver_path: str, env: str = "dev", **options) -
         orders_checks(),
         ["order_id"],
         "orders_etl",
+        unique_source=True,
         **options,
     )
 
@@ -169,6 +173,7 @@ def load_customers(raw: DataFrame, silver_path: str, env: str = "dev", **options
         customers_checks(),
         ["customer_id"],
         "customers_etl",
+        unique_source=True,
         **options,
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,9 +84,10 @@ def read_jdbc(
 
     The bounds set the stride only: rows outside them, and NULLs, are read as well.
     """
-    return spark.read.format("jdbc").options(**jdbc_options(
-        url, table, user, password, partition_column, lower_bound, upper_bound, num_partitions,
-    ), **properties).load()
+    options = jdbc_options(
+        url, table, user, password, partition_column, lower_bound, upper_bound, num_partitions
+    )
+    return spark.read.format("jdbc").options(**options, **properties).load()
 
 
 def jdbc_options(
@@ -144,3 +146,10 @@ def create_reader(spark: SparkSession, format: str) -> Reader:
     if function is None:
         raise ValueError(f"unknown format {format!r}; known: {sorted(READERS)}")
     return Reader(spark, function)
+
+
+ParquetReader = partial(create_reader, format="parquet")
+CsvReader = partial(create_reader, format="csv")
+JsonReader = partial(create_reader, format="json")
+DeltaReader = partial(create_reader, format="delta")
+JdbcReader = partial(create_reader, format="jdbc")

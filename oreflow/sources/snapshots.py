@@ -32,7 +32,8 @@ from oreflow.sources.delta import DeltaTable, Staged, has_delta
 from oreflow.sources.paths import create_text, list_folders, list_names, read_text, sql_text
 
 _BATCH = "_batch"
-_SALTS = 1024
+# Key types whose least and greatest value pass through Python unchanged.
+_BOUNDED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType)
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
 
 
@@ -311,7 +312,9 @@ class SnapshotTable:
         else:
             folders, schema = list(staged.folders), staged.schema
             if touched:
-                survivors = self._unmatched(touched, current.schema, staged.df, merge_keys, null_safe)
+                survivors = self._unmatched(
+                    touched, current.schema, staged.df, merge_keys, null_safe
+                )
                 folders += self._put(survivors, current.partition_by)
         return self._commit("upsert", schema, current.partition_by, [*kept, *folders], current)
 
@@ -343,7 +346,10 @@ class SnapshotTable:
         wanted = source.select(*map(named, keys))
         if not null_safe:
             target, wanted = target.filter(_all_set(keys)), wanted.filter(_all_set(keys))
-        on = _matches(keys, null_safe, salted=False)
+        in_bounds = self._bounds(wanted, keys, null_safe)
+        if in_bounds is not None:
+            target = target.filter(in_bounds)
+        on = _matches(keys, null_safe)
         hits = target.alias("target").join(wanted.alias("source"), on, "left_semi")
         folder = F.regexp_extract("__file", "^(.*)/[^/]*$", 1)
         hit_folders = hits.select("__file").distinct().select(folder).distinct()
@@ -351,18 +357,33 @@ class SnapshotTable:
         found = {"/".join(unquote(row[0]).split("/")[-depth:]) for row in hit_folders.collect()}
         return [f for f in current.folders if f in found]
 
-    def _salted(self, folders: list[str], schema: T.StructType, keys: list[str]) -> DataFrame:
-        """Rows of folders with a salt that spreads those whose key is NULL.
+    def _bounds(self, wanted: DataFrame, keys: list[str], null_safe: bool) -> Column | None:
+        """The range the source's keys span, as a filter that reaches the Parquet scan.
 
-        Such rows match nothing, but without the salt would all meet in one task. The
-        salt is the row's place in its file, so it is the same when a task runs again.
+        Files and row groups outside it are skipped by their statistics, which is most
+        of the table if keys grow with time.
         """
-        salt = F.when(_all_set(keys), 0).otherwise(
-            F.pmod(F.col("_metadata.row_index"), F.lit(_SALTS)).cast("int") + 1
-        )
-        return self._scan(folders, schema).select(
-            *map(named, schema.names), salt.alias("__salt")
-        )
+        bounded = [k for k in keys if isinstance(wanted.schema[k].dataType, _BOUNDED)]
+        if not bounded:
+            return None
+        ends = [f(named(k)) for k in bounded for f in (F.min, F.max)]
+        found = wanted.agg(*ends).first()
+        tests = []
+        for i, key in enumerate(bounded):
+            inside = named(key).between(F.lit(found[2 * i]), F.lit(found[2 * i + 1]))
+            tests.append(named(key).isNull() | inside if null_safe else inside)
+        return reduce(Column.__and__, tests)
+
+    def _split(
+        self, rows: DataFrame, keys: list[str], null_safe: bool
+    ) -> tuple[DataFrame, DataFrame | None]:
+        """Rows that can match, and rows that cannot as a key is NULL.
+
+        The latter are kept out of the join, where they would all go to one task.
+        """
+        if null_safe:
+            return rows, None
+        return rows.filter(_all_set(keys)), rows.filter(~_all_set(keys))
 
     def _unmatched(
         self,
@@ -372,14 +393,18 @@ class SnapshotTable:
         keys: list[str],
         null_safe: bool,
     ) -> DataFrame:
-        target = self._salted(folders, schema, keys).alias("target")
-        wanted = source.select(*map(named, keys), F.lit(0).alias("__salt"))
-        if not null_safe:
-            wanted = wanted.filter(_all_set(keys))
-        on = _matches(keys, null_safe, salted=not null_safe)
-        return target.join(wanted.alias("source"), on, "left_anti").select(
-            *map(named, schema.names)
-        )
+        """Rows of folders whose key the source does not have."""
+        rows = self._scan(folders, schema).select(*map(named, schema.names))
+        return self._without(rows, source, keys, null_safe)
+
+    def _without(
+        self, rows: DataFrame, other: DataFrame, keys: list[str], null_safe: bool
+    ) -> DataFrame:
+        keyed, keyless = self._split(rows, keys, null_safe)
+        others, _ = self._split(other.select(*map(named, keys)), keys, null_safe)
+        on = _matches(keys, null_safe)
+        left = keyed.alias("target").join(others.alias("source"), on, "left_anti")
+        return left if keyless is None else left.unionByName(keyless)
 
     def _merged(
         self,
@@ -397,36 +422,25 @@ class SnapshotTable:
         unknown = [c for c in changed if c not in schema.names]
         if unknown:
             raise ValueError(f"update_columns unknown to the table: {unknown}")
-        inserted = source
-        result = None
-        if touched:
-            target = self._salted(touched, schema, keys).alias("target")
-            marked = source.withColumns({"__salt": F.lit(0), "__hit": F.lit(True)})
-            if not null_safe:
-                marked = marked.filter(_all_set(keys))
-            on = _matches(keys, null_safe, salted=not null_safe)
-            joined = target.join(marked.alias("source"), on, "left")
-            if delete_condition:
-                goes = F.col("__hit") & F.expr(f"({delete_condition})")
-                joined = joined.filter(~F.coalesce(goes, F.lit(False)))
-            result = joined.select(
-                *[
-                    F.when(F.col("__hit"), F.col(f"source.`{f.name}`").cast(f.dataType))
-                    .otherwise(F.col(f"target.`{f.name}`"))
-                    .alias(f.name)
-                    if f.name in changed
-                    else F.col(f"target.`{f.name}`")
-                    for f in schema
-                ]
-            )
-            there = self._scan(touched, schema).select(*map(named, keys))
-            on = _matches(keys, null_safe, salted=False)
-            new = source if null_safe else source.filter(_all_set(keys))
-            inserted = new.alias("target").join(there.alias("source"), on, "left_anti")
-            if not null_safe:
-                inserted = inserted.unionByName(source.filter(~_all_set(keys)))
-        inserted = inserted.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in schema])
-        return inserted if result is None else result.unionByName(inserted)
+        conformed = [named(f.name).cast(f.dataType).alias(f.name) for f in schema]
+        if not touched:
+            return source.select(*conformed)
+        target = self._scan(touched, schema).select(*map(named, schema.names))
+        keyed, keyless = self._split(target, keys, null_safe)
+        marked, _ = self._split(source.withColumn("__hit", F.lit(True)), keys, null_safe)
+        on = _matches(keys, null_safe)
+        joined = keyed.alias("target").join(marked.alias("source"), on, "left")
+        if delete_condition:
+            goes = F.col("__hit") & F.expr(f"({delete_condition})")
+            joined = joined.filter(~F.coalesce(goes, F.lit(False)))
+        columns = []
+        for f in schema:
+            old, new = F.col(f"target.`{f.name}`"), F.col(f"source.`{f.name}`").cast(f.dataType)
+            value = F.when(F.col("__hit"), new).otherwise(old) if f.name in changed else old
+            columns.append(value.alias(f.name))
+        inserted = self._without(source, target, keys, null_safe)
+        result = joined.select(*columns).unionByName(inserted.select(*conformed))
+        return result if keyless is None else result.unionByName(keyless)
 
     # -- comparing and registering -------------------------------------------------
 
@@ -501,12 +515,10 @@ def _spec(folder: str) -> str:
     )
 
 
-def _matches(keys: list[str], null_safe: bool, salted: bool) -> Column:
+def _matches(keys: list[str], null_safe: bool) -> Column:
     """Join condition between the aliases ``target`` and ``source``."""
     pairs = [(F.col(f"target.`{k}`"), F.col(f"source.`{k}`")) for k in keys]
     tests = [t.eqNullSafe(s) if null_safe else t == s for t, s in pairs]
-    if salted:
-        tests.append(F.col("target.__salt") == F.col("source.__salt"))
     return reduce(Column.__and__, tests)
 
 

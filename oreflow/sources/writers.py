@@ -104,6 +104,8 @@ class VersionedWriter:
         )
 
 
+DeltaWriter = VersionedWriter
+
 WRITERS = {
     "csv": CsvWriter,
     "delta": VersionedWriter,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from oreflow import (
     AcceptedValuesCheck,
+    CheckResult,
     DataQualityChecker,
     DataQualityError,
     NotNullCheck,
@@ -226,6 +227,18 @@ def test_own_check(spark):
     assert (result.check_name, result.failing_rows, result.status) == ("even:id", 2, "WARN")
 
 
+def test_check_with_a_run_of_its_own(spark):
+    class ColumnsCheck(BaseCheck):
+        def run(self, df, dataset):
+            return CheckResult(self.name, dataset, "PASS", self.severity, 0, 0, 0, 1.0)
+
+    suite = DataQualityChecker("t").add_check(RowCountCheck()).add_check(ColumnsCheck("columns"))
+    suite.add_check(NotNullCheck("id"))
+    assert [r.check_name for r in suite.run(spark.range(2))] == ["row_count", "columns", "not_null:id"]
+    with pytest.raises(ValueError, match="columns"):
+        suite.results(spark.range(2))
+
+
 def test_summarise(spark):
     row = summarise(make_suite().results(dirty(spark))).first()
     assert (row["total_checks"], row["passed"], row["failed"]) == (7, 1, 6)

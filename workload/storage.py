@@ -34,9 +34,9 @@ def csv_strings(spark, sf_dir):
 
 def json_round_trip(spark, sf_dir):
     path = scratch_path(spark, "json")
-    pages = table(spark, sf_dir, "documents").drop("n_chars")
-    pages.write.json(path)
-    return create_reader(spark, "json").read(path, schema=pages.schema)
+    documents = table(spark, sf_dir, "documents").drop("n_chars")
+    documents.write.json(path)
+    return create_reader(spark, "json").read(path, schema=documents.schema)
 
 
 def partitioned_write(spark, sf_dir):
