@@ -34,16 +34,12 @@ class RunMetrics:
         self.elapsed_seconds = round(time.monotonic() - self.started, 3)
         return self
 
+    def to_dict(self) -> dict[str, Any]:
+        names = ("elapsed_seconds", "rows_read", "rows_written", "rows_dropped")
+        checks = ("dq_checks_passed", "dq_checks_failed")
+        return {name: getattr(self, name) for name in (*names, *checks)} | self.extra
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
+        counted = {k: v for k, v in self.to_dict().items() if k not in self.extra}
         extra = {k: str(v) for k, v in self.extra.items()}
-        row = (
-            self.job,
-            self.elapsed_seconds,
-            self.rows_read,
-            self.rows_written,
-            self.rows_dropped,
-            self.dq_checks_passed,
-            self.dq_checks_failed,
-            extra,
-        )
-        return spark.createDataFrame([row], _COLUMNS)
+        return spark.createDataFrame([(self.job, *counted.values(), extra)], _COLUMNS)

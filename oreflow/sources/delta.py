@@ -4,25 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
+from oreflow.sources.merging import Staged
 from oreflow.sources.paths import sql_text
 
 
-@dataclass(frozen=True)
-class Staged:
-    """Rows that are written but not part of a table yet."""
-
-    df: DataFrame
-    folders: list[str]
-    schema: T.StructType
-    partition_by: list[str]
-
-
 def has_delta(spark: SparkSession) -> bool:
     return "io.delta" in (spark.conf.get("spark.sql.extensions", "") or "")
 

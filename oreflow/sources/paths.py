@@ -52,6 +52,12 @@ def list_folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found if s.isDirectory())
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Total size of the files in a folder."""
+    files, location = _locate(spark, folder)
+    return files.getContentSummary(location).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     files, location = _locate(spark, path)
     stream = files.open(location)

@@ -19,21 +19,27 @@ from bisect import bisect_right
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import datetime, timedelta, timezone
-from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.columns import named
 from oreflow.functions.layout import rebalance
-from oreflow.sources.delta import DeltaTable, Staged, has_delta
-from oreflow.sources.paths import create_text, list_folders, list_names, read_text, sql_text
+from oreflow.sources.delta import DeltaTable, has_delta
+from oreflow.sources.merging import Staged, having, keyed, lacking, updated, within_bounds
+from oreflow.sources.paths import (
+    create_text,
+    folder_bytes,
+    list_folders,
+    list_names,
+    read_text,
+    sql_text,
+)
 
 _BATCH = "_batch"
-# Key types whose least and greatest value pass through Python unchanged.
-_BOUNDED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType)
+SMALL_SOURCE_BYTES = 32 * 1024 * 1024  # on disk; a larger source is never broadcast
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
 
 
@@ -73,10 +79,6 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
-def _all_set(keys: list[str]) -> Column:
-    return reduce(Column.__and__, [named(k).isNotNull() for k in keys])
-
-
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
@@ -170,11 +172,13 @@ class SnapshotTable:
         df: DataFrame,
         partition_by: list[str],
         observe: Callable[[DataFrame], DataFrame] | None = None,
+        laid_out: bool = False,
     ) -> list[str]:
-        """Write rows to a new folder; the folders, one per partition value."""
+        """Write rows to a new folder; the folders, one per partition value. Rows that
+        are not ``laid_out`` by partition yet are rebalanced first."""
         folder = f"{_BATCH}=b{uuid.uuid4().hex[:16]}"
-        laid_out = rebalance(df, partition_by)
-        writer = (observe(laid_out) if observe else laid_out).write
+        rows = df if laid_out else rebalance(df, partition_by)
+        writer = (observe(rows) if observe else rows).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/{folder}")
@@ -226,7 +230,9 @@ class SnapshotTable:
         schema = _nullable(rows.schema)
         folders = self._put(rows, parts, observe)
         written = self._scan(folders, schema).select(*map(named, schema.names))
-        return Staged(written, folders, schema, parts)
+        tops = {folder.split("/")[0] for folder in folders}
+        size = sum(folder_bytes(self.spark, f"{self.path}/{top}") for top in tops)
+        return Staged(written, folders, schema, parts, size)
 
     def write(
         self,
@@ -302,20 +308,33 @@ class SnapshotTable:
         if current is None:
             return self._commit("upsert", staged.schema, staged.partition_by, staged.folders, None)
 
-        touched = self._touched(current, staged.df, merge_keys, null_safe)
+        # The staged size is known, and a small source makes every join below a
+        # broadcast. Rows then stay in the layout they are read in and need no rebalance.
+        small = staged.size_bytes <= SMALL_SOURCE_BYTES
+        source = keyed(staged.df, merge_keys, null_safe)
+        source = F.broadcast(source) if small else source
+        touched = self._touched(current, source, merge_keys, null_safe)
+        old = self._scan(touched, current.schema).select(*map(named, current.schema.names))
         kept = [f for f in current.folders if f not in set(touched)]
         if partial:
-            rows = self._merged(
-                touched, current, staged.df, merge_keys, update_columns, delete_condition, null_safe
-            )
-            folders, schema = self._put(rows, current.partition_by), current.schema
-        else:
-            folders, schema = list(staged.folders), staged.schema
+            schema, folders = current.schema, []
+            changed = schema.names if update_columns is None else update_columns
+            unknown = [c for c in changed if c not in schema.names]
+            if unknown:
+                raise ValueError(f"update_columns unknown to the table: {unknown}")
+            matched = having(old.select(*map(named, merge_keys)), source, merge_keys, null_safe)
+            rows = lacking(staged.df, matched.distinct(), merge_keys, null_safe)
+            rows = rows.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in schema])
             if touched:
-                survivors = self._unmatched(
-                    touched, current.schema, staged.df, merge_keys, null_safe
+                rows = rows.unionByName(
+                    updated(old, source, merge_keys, null_safe, changed, delete_condition)
                 )
-                folders += self._put(survivors, current.partition_by)
+            folders += self._put(rows, current.partition_by, laid_out=small)
+        else:
+            schema, folders = staged.schema, list(staged.folders)
+            if touched:
+                rows = lacking(old, source.select(*map(named, merge_keys)), merge_keys, null_safe)
+                folders += self._put(rows, current.partition_by, laid_out=small)
         return self._commit("upsert", schema, current.partition_by, [*kept, *folders], current)
 
     def _stage_aside(self, df: DataFrame, current: Snapshot) -> Staged:
@@ -325,10 +344,11 @@ class SnapshotTable:
             raise ValueError(f"the source lacks columns of the table: {missing}")
         place = f"{self.path}/_staging/{uuid.uuid4().hex}"
         df.write.parquet(place)
-        return Staged(self.spark.read.schema(df.schema).parquet(place), [], df.schema, [])
+        size = folder_bytes(self.spark, place)
+        return Staged(self.spark.read.schema(df.schema).parquet(place), [], df.schema, [], size)
 
     def _require_unique(self, source: DataFrame, keys: list[str], null_safe: bool) -> None:
-        rows = source if null_safe else source.filter(_all_set(keys))
+        rows = keyed(source, keys, null_safe)
         repeated = rows.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("__n"))
         example = repeated.filter("__n > 1").drop("__n").first()
         if example is not None:
@@ -344,104 +364,14 @@ class SnapshotTable:
             *map(named, keys), F.col("_metadata.file_path").alias("__file")
         )
         wanted = source.select(*map(named, keys))
-        if not null_safe:
-            target, wanted = target.filter(_all_set(keys)), wanted.filter(_all_set(keys))
-        in_bounds = self._bounds(wanted, keys, null_safe)
-        if in_bounds is not None:
-            target = target.filter(in_bounds)
-        on = _matches(keys, null_safe)
-        hits = target.alias("target").join(wanted.alias("source"), on, "left_semi")
+        target = target.filter(within_bounds(wanted, keys, null_safe))
+        hits = having(target, wanted, keys, null_safe)
         folder = F.regexp_extract("__file", "^(.*)/[^/]*$", 1)
         hit_folders = hits.select("__file").distinct().select(folder).distinct()
         depth = 1 + len(current.partition_by)
         found = {"/".join(unquote(row[0]).split("/")[-depth:]) for row in hit_folders.collect()}
         return [f for f in current.folders if f in found]
 
-    def _bounds(self, wanted: DataFrame, keys: list[str], null_safe: bool) -> Column | None:
-        """The range the source's keys span, as a filter that reaches the Parquet scan.
-
-        Files and row groups outside it are skipped by their statistics, which is most
-        of the table if keys grow with time.
-        """
-        bounded = [k for k in keys if isinstance(wanted.schema[k].dataType, _BOUNDED)]
-        if not bounded:
-            return None
-        ends = [f(named(k)) for k in bounded for f in (F.min, F.max)]
-        found = wanted.agg(*ends).first()
-        tests = []
-        for i, key in enumerate(bounded):
-            inside = named(key).between(F.lit(found[2 * i]), F.lit(found[2 * i + 1]))
-            tests.append(named(key).isNull() | inside if null_safe else inside)
-        return reduce(Column.__and__, tests)
-
-    def _split(
-        self, rows: DataFrame, keys: list[str], null_safe: bool
-    ) -> tuple[DataFrame, DataFrame | None]:
-        """Rows that can match, and rows that cannot as a key is NULL.
-
-        The latter are kept out of the join, where they would all go to one task.
-        """
-        if null_safe:
-            return rows, None
-        return rows.filter(_all_set(keys)), rows.filter(~_all_set(keys))
-
-    def _unmatched(
-        self,
-        folders: list[str],
-        schema: T.StructType,
-        source: DataFrame,
-        keys: list[str],
-        null_safe: bool,
-    ) -> DataFrame:
-        """Rows of folders whose key the source does not have."""
-        rows = self._scan(folders, schema).select(*map(named, schema.names))
-        return self._without(rows, source, keys, null_safe)
-
-    def _without(
-        self, rows: DataFrame, other: DataFrame, keys: list[str], null_safe: bool
-    ) -> DataFrame:
-        keyed, keyless = self._split(rows, keys, null_safe)
-        others, _ = self._split(other.select(*map(named, keys)), keys, null_safe)
-        on = _matches(keys, null_safe)
-        left = keyed.alias("target").join(others.alias("source"), on, "left_anti")
-        return left if keyless is None else left.unionByName(keyless)
-
-    def _merged(
-        self,
-        touched: list[str],
-        current: Snapshot,
-        source: DataFrame,
-        keys: list[str],
-        update_columns: list[str] | None,
-        delete_condition: str | None,
-        null_safe: bool,
-    ) -> DataFrame:
-        """The new rows of the touched folders, and the source's rows for new keys."""
-        schema = current.schema
-        changed = schema.names if update_columns is None else update_columns
-        unknown = [c for c in changed if c not in schema.names]
-        if unknown:
-            raise ValueError(f"update_columns unknown to the table: {unknown}")
-        conformed = [named(f.name).cast(f.dataType).alias(f.name) for f in schema]
-        if not touched:
-            return source.select(*conformed)
-        target = self._scan(touched, schema).select(*map(named, schema.names))
-        keyed, keyless = self._split(target, keys, null_safe)
-        marked, _ = self._split(source.withColumn("__hit", F.lit(True)), keys, null_safe)
-        on = _matches(keys, null_safe)
-        joined = keyed.alias("target").join(marked.alias("source"), on, "left")
-        if delete_condition:
-            goes = F.col("__hit") & F.expr(f"({delete_condition})")
-            joined = joined.filter(~F.coalesce(goes, F.lit(False)))
-        columns = []
-        for f in schema:
-            old, new = F.col(f"target.`{f.name}`"), F.col(f"source.`{f.name}`").cast(f.dataType)
-            value = F.when(F.col("__hit"), new).otherwise(old) if f.name in changed else old
-            columns.append(value.alias(f.name))
-        inserted = self._without(source, target, keys, null_safe)
-        result = joined.select(*columns).unionByName(inserted.select(*conformed))
-        return result if keyless is None else result.unionByName(keyless)
-
     # -- comparing and registering -------------------------------------------------
 
     def diff(self, from_version: int, to_version: int, keys: list[str]) -> DataFrame:
@@ -515,13 +445,6 @@ def _spec(folder: str) -> str:
     )
 
 
-def _matches(keys: list[str], null_safe: bool) -> Column:
-    """Join condition between the aliases ``target`` and ``source``."""
-    pairs = [(F.col(f"target.`{k}`"), F.col(f"source.`{k}`")) for k in keys]
-    tests = [t.eqNullSafe(s) if null_safe else t == s for t, s in pairs]
-    return reduce(Column.__and__, tests)
-
-
 def versioned_table(spark: SparkSession, path: str) -> DeltaTable | SnapshotTable:
     """Delta if the session has it, snapshots otherwise."""
     return DeltaTable(spark, path) if has_delta(spark) else SnapshotTable(spark, path)

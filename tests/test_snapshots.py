@@ -1,5 +1,6 @@
 import datetime
 import os
+import tempfile
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,6 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from oreflow import SnapshotTable, create_reader, create_writer
+from oreflow.sources import snapshots
+from oreflow.sources.merging import lacking, within_bounds
 from oreflow.sources.snapshots import MergeConflictError
 
 ORDER = "order_id string, customer_id string, product_id string, quantity long, status string"
@@ -248,23 +251,47 @@ def test_register_follows_commits(spark, table, rows_of):
 ROWS = st.dictionaries(st.one_of(st.none(), st.sampled_from("abcdef")), st.integers(0, 3), max_size=6)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(batches=st.lists(ROWS, min_size=1, max_size=3), parts=st.booleans(), columns=st.booleans())
-def test_any_sequence_of_upserts_is_a_dict_update(spark, batches, parts, columns):
-    """Against a plain dict, NULL being a key (null_safe)."""
-    import tempfile
-
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    batches=st.lists(ROWS, min_size=1, max_size=3),
+    parts=st.booleans(),
+    columns=st.booleans(),
+    large=st.booleans(),
+)
+def test_any_sequence_of_upserts_is_a_dict_update(spark, batches, parts, columns, large):
+    """Against a plain dict, NULL being a key (null_safe), with and without broadcasts."""
     table, model = SnapshotTable(spark, tempfile.mkdtemp(prefix="run-") + "/t"), {}
-    for batch in batches:
-        rows = [(k, v, str(v % 2)) for k, v in batch.items()]
-        options = {"update_columns": ["v", "p"]} if columns else {}
-        table.upsert(
-            spark.createDataFrame(rows, "k string, v int, p string"),
-            ["k"],
-            null_safe=True,
-            partition_by=["p"] if parts else None,
-            **options,
-        )
-        model.update(batch)
-        got = {r["k"]: r["v"] for r in table.read().collect()}
-        assert got == model and table.read().count() == len(model)
+    limit, threshold = snapshots.SMALL_SOURCE_BYTES, "spark.sql.autoBroadcastJoinThreshold"
+    if large:
+        snapshots.SMALL_SOURCE_BYTES = -1
+        spark.conf.set(threshold, "-1")
+    try:
+        for batch in batches:
+            rows = [(k, v, str(v % 2)) for k, v in batch.items()]
+            table.upsert(
+                spark.createDataFrame(rows, "k string, v int, p string"),
+                ["k"],
+                update_columns=["v", "p"] if columns else None,
+                null_safe=True,
+                partition_by=["p"] if parts else None,
+            )
+            model.update(batch)
+            got = [(r["k"], r["v"]) for r in table.read().collect()]
+            assert dict(got) == model and len(got) == len(model)
+    finally:
+        snapshots.SMALL_SOURCE_BYTES = limit
+        spark.conf.unset(threshold)
+
+
+def test_small_source_leaves_the_table_unshuffled(spark, table):
+    table.write(kv(spark, [("a", 1), ("b", 2)]))
+    source = F.broadcast(kv(spark, [("b", 3)]).select("k"))
+    text = lacking(table.read(), source, ["k"], False)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_key_range_reaches_the_scan(spark, table):
+    table.write(kv(spark, [("a", 1), ("b", 2)]))
+    bounds = within_bounds(kv(spark, [("b", 3), ("d", 4)]).select("k"), ["k"], False)
+    text = table.read().filter(bounds)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(k,b)" in text and "LessThanOrEqual(k,d)" in text
