@@ -34,6 +34,10 @@ def daily_sales(spark, sf_dir):
     return money(gold.daily_sales(silver_orders(spark, sf_dir)), "revenue")
 
 
+def ordered_sales(spark, sf_dir):
+    return daily_sales(spark, sf_dir).orderBy(F.desc("revenue"), "order_date")
+
+
 def customer_360(spark, sf_dir):
     customers = (
         raw_customers(spark, sf_dir)
@@ -49,16 +53,16 @@ KPIS_SQL = f"""WITH {SILVER_ORDERS_SQL}
 STATUS_SQL = f"""WITH {SILVER_ORDERS_SQL}
   SELECT status, count(*) AS nb_orders FROM silver GROUP BY status"""
 
+SALES_SQL = f"""WITH {SILVER_ORDERS_SQL}
+  SELECT order_date, count(*) AS nb_orders, CAST(sum(quantity) AS BIGINT) AS units,
+    CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue
+  FROM silver GROUP BY order_date"""
+
 ENTRIES = {
     "gold_kpis": (gold_kpis, KPIS_SQL),
     "status_summary": (status_summary, STATUS_SQL),
-    "daily_sales": (
-        daily_sales,
-        f"""WITH {SILVER_ORDERS_SQL}
-            SELECT order_date, count(*) AS nb_orders, CAST(sum(quantity) AS BIGINT) AS units,
-              CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue
-            FROM silver GROUP BY order_date""",
-    ),
+    "daily_sales": (daily_sales, SALES_SQL),
+    "daily_sales_ordered": (ordered_sales, f"{SALES_SQL} ORDER BY revenue DESC, order_date"),
     "customer_360": (
         customer_360,
         f"""WITH {SILVER_ORDERS_SQL}, {SILVER_CUSTOMERS_SQL},

@@ -15,6 +15,7 @@ from oreflow.operators.quality import (
     RowCountCheck,
     Severity,
     UniquenessCheck,
+    blocking,
     summarise,
 )
 from oreflow.sources.paths import scratch_path
@@ -105,6 +106,11 @@ def summary(spark, sf_dir):
     return summarise(full_suite().results(raw_orders(spark, sf_dir)))
 
 
+def gate(spark, sf_dir):
+    """The checks that would stop a load."""
+    return blocking(results(full_suite(), raw_orders(spark, sf_dir)))
+
+
 def stored_runs(spark, sf_dir):
     """Two runs of one suite and one of another, stored and read back."""
     path = scratch_path(spark, "dq")
@@ -341,6 +347,11 @@ ENTRIES = {
         ),
     ),
     "dq_suite": (full, joined(*full_rows())),
+    "dq_gate": (
+        gate,
+        f"""WITH {RAW_ORDERS_SQL}, r AS ({" UNION ALL ".join(full_rows())})
+            SELECT * FROM r WHERE severity = 'fail' AND status <> 'PASS'""",
+    ),
     "dq_summary": (
         summary,
         f"""WITH {RAW_ORDERS_SQL}, r AS ({" UNION ALL ".join(full_rows())})
