@@ -45,11 +45,11 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
-def list_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders matching a glob pattern."""
+def list_matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob pattern."""
     files, location = _locate(spark, pattern)
     found = files.globStatus(location) or []
-    return sorted(s.getPath().toString() for s in found if s.isDirectory())
+    return sorted(status.getPath().toString() for status in found)
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:

@@ -32,7 +32,7 @@ from oreflow.sources.merging import Staged, having, keyed, lacking, updated, wit
 from oreflow.sources.paths import (
     create_text,
     folder_bytes,
-    list_folders,
+    list_matching,
     list_names,
     read_text,
     sql_text,
@@ -185,7 +185,7 @@ class SnapshotTable:
         if not partition_by:
             return [folder]
         depth = len(partition_by)
-        found = list_folders(self.spark, f"{self.path}/{folder}" + "/*=*" * depth)
+        found = list_matching(self.spark, f"{self.path}/{folder}" + "/*=*" * depth)
         return ["/".join(name.split("/")[-depth - 1 :]) for name in found]
 
     def _conform(
@@ -229,8 +229,8 @@ class SnapshotTable:
         rows = self._conform(df, current, merge_schema, require_all, ignore_extra)
         schema = _nullable(rows.schema)
         folders = self._put(rows, parts, observe)
-        written = self._scan(folders, schema).select(*map(named, schema.names))
-        tops = {folder.split("/")[0] for folder in folders}
+        tops = sorted({folder.split("/")[0] for folder in folders})
+        written = self._scan(tops, schema).select(*map(named, schema.names))
         size = sum(folder_bytes(self.spark, f"{self.path}/{top}") for top in tops)
         return Staged(written, folders, schema, parts, size)
 
