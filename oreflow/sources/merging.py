@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,18 +90,42 @@ def updated(
     return and_keyless(joined.select(*columns), rows, keys, null_safe)
 
 
-def within_bounds(source: DataFrame, keys: list[str], null_safe: bool) -> Column:
-    """The range the source's keys span, as a filter that reaches the Parquet scan.
+@dataclass(frozen=True)
+class KeyProfile:
+    """What one pass over a source's keys tells: their range, and whether any repeats."""
+
+    bounds: dict[str, tuple[Any, Any]]
+    most_rows: int
+
+    def within_bounds(self, null_safe: bool) -> Column:
+        """The range the keys span, as a filter that reaches the Parquet scan.
 
-    Files and row groups outside it are skipped by their statistics, which is most of
-    the table if keys grow with time.
-    """
+        Files and row groups outside it are skipped by their statistics, which is most
+        of the table if keys grow with time.
+        """
+        inside = F.lit(True)
+        for key, (least, greatest) in self.bounds.items():
+            test = named(key).between(F.lit(least), F.lit(greatest))
+            inside = inside & (named(key).isNull() | test if null_safe else test)
+        return inside
+
+
+def profile_keys(
+    source: DataFrame, keys: list[str], null_safe: bool, count_rows: bool
+) -> KeyProfile:
+    """Rows per key are counted, which shuffles the keys, only on request."""
     bounded = [k for k in keys if isinstance(source.schema[k].dataType, _BOUNDED)]
-    if not bounded:
-        return F.lit(True)
-    ends = source.agg(*[f(named(k)) for k in bounded for f in (F.min, F.max)]).first()
-    tests = []
-    for i, key in enumerate(bounded):
-        inside = named(key).between(F.lit(ends[2 * i]), F.lit(ends[2 * i + 1]))
-        tests.append(named(key).isNull() | inside if null_safe else inside)
-    return reduce(Column.__and__, tests)
+    rows = keyed(source.select(*map(named, keys)), keys, null_safe)
+    if count_rows:
+        rows = rows.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("__rows"))
+    else:
+        rows = rows.withColumn("__rows", F.lit(1))
+    ends = [F.struct(F.min(named(k)), F.max(named(k))) for k in bounded]
+    *found, most = rows.agg(*ends, F.max("__rows")).first()
+    return KeyProfile({k: tuple(end) for k, end in zip(bounded, found)}, most or 0)
+
+
+def repeated_key(source: DataFrame, keys: list[str], null_safe: bool) -> dict[str, Any]:
+    """A key that several rows have."""
+    counted = keyed(source, keys, null_safe).groupBy(*map(named, keys)).count()
+    return counted.filter("count > 1").drop("count").first().asDict()

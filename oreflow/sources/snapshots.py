@@ -21,14 +21,22 @@ from dataclasses import asdict, dataclass
 from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.columns import named
 from oreflow.functions.layout import rebalance
 from oreflow.sources.delta import DeltaTable, has_delta
-from oreflow.sources.merging import Staged, having, keyed, lacking, updated, within_bounds
+from oreflow.sources.merging import (
+    Staged,
+    having,
+    keyed,
+    lacking,
+    profile_keys,
+    repeated_key,
+    updated,
+)
 from oreflow.sources.paths import (
     create_text,
     folder_bytes,
@@ -303,8 +311,12 @@ class SnapshotTable:
             staged = self._stage_aside(df, current)
         else:
             staged = self.stage(df, partition_by, merge_schema)
-        if not unique_source:
-            self._require_unique(staged.df, merge_keys, null_safe)
+        if current is None and unique_source:
+            return self._commit("upsert", staged.schema, staged.partition_by, staged.folders, None)
+        profile = profile_keys(staged.df, merge_keys, null_safe, count_rows=not unique_source)
+        if profile.most_rows > 1:
+            example = repeated_key(staged.df, merge_keys, null_safe)
+            raise MergeConflictError(f"several source rows for {example}")
         if current is None:
             return self._commit("upsert", staged.schema, staged.partition_by, staged.folders, None)
 
@@ -313,7 +325,9 @@ class SnapshotTable:
         small = staged.size_bytes <= SMALL_SOURCE_BYTES
         source = keyed(staged.df, merge_keys, null_safe)
         source = F.broadcast(source) if small else source
-        touched = self._touched(current, source, merge_keys, null_safe)
+        touched = self._touched(
+            current, source, merge_keys, null_safe, profile.within_bounds(null_safe)
+        )
         old = self._scan(touched, current.schema).select(*map(named, current.schema.names))
         kept = [f for f in current.folders if f not in set(touched)]
         if partial:
@@ -347,15 +361,13 @@ class SnapshotTable:
         size = folder_bytes(self.spark, place)
         return Staged(self.spark.read.schema(df.schema).parquet(place), [], df.schema, [], size)
 
-    def _require_unique(self, source: DataFrame, keys: list[str], null_safe: bool) -> None:
-        rows = keyed(source, keys, null_safe)
-        repeated = rows.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("__n"))
-        example = repeated.filter("__n > 1").drop("__n").first()
-        if example is not None:
-            raise MergeConflictError(f"several source rows for {example.asDict()}")
-
     def _touched(
-        self, current: Snapshot, source: DataFrame, keys: list[str], null_safe: bool
+        self,
+        current: Snapshot,
+        source: DataFrame,
+        keys: list[str],
+        null_safe: bool,
+        bounds: Column,
     ) -> list[str]:
         """Folders that hold a key of the source. Reads the key columns only."""
         if not current.folders:
@@ -364,8 +376,7 @@ class SnapshotTable:
             *map(named, keys), F.col("_metadata.file_path").alias("__file")
         )
         wanted = source.select(*map(named, keys))
-        target = target.filter(within_bounds(wanted, keys, null_safe))
-        hits = having(target, wanted, keys, null_safe)
+        hits = having(target.filter(bounds), wanted, keys, null_safe)
         folder = F.regexp_extract("__file", "^(.*)/[^/]*$", 1)
         hit_folders = hits.select("__file").distinct().select(folder).distinct()
         depth = 1 + len(current.partition_by)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from oreflow import SnapshotTable, create_reader, create_writer
 from oreflow.sources import snapshots
-from oreflow.sources.merging import lacking, within_bounds
+from oreflow.sources.merging import lacking, profile_keys
 from oreflow.sources.snapshots import MergeConflictError
 
 ORDER = "order_id string, customer_id string, product_id string, quantity long, status string"
@@ -292,6 +292,7 @@ def test_small_source_leaves_the_table_unshuffled(spark, table):
 
 def test_key_range_reaches_the_scan(spark, table):
     table.write(kv(spark, [("a", 1), ("b", 2)]))
-    bounds = within_bounds(kv(spark, [("b", 3), ("d", 4)]).select("k"), ["k"], False)
-    text = table.read().filter(bounds)._jdf.queryExecution().toString()
+    profile = profile_keys(kv(spark, [("b", 3), ("d", 4), (None, 5)]), ["k"], False, True)
+    assert profile.bounds == {"k": ("b", "d")} and profile.most_rows == 1
+    text = table.read().filter(profile.within_bounds(False))._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(k,b)" in text and "LessThanOrEqual(k,d)" in text
