@@ -19,6 +19,12 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def resolved(schema: T.StructType, name: str) -> Column:
+    """A top-level column by its exact name, else whatever Spark takes the name for, such
+    as a field of a struct."""
+    return named(name) if name in schema.names else F.col(name)
+
+
 def string_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
 

@@ -94,6 +94,16 @@ def test_referential(spark):
     assert (result.total_rows, result.failing_rows, result.status) == (7, 3, "FAIL")
 
 
+def test_struct_fields_and_other_case(spark):
+    df = spark.createDataFrame([(("Paris", 1),), ((None, 1),)], "address struct<city:string,n:int>")
+    assert one(df, NotNullCheck("address.city")).failing_rows == 1
+    assert one(df, UniquenessCheck(["address.n"])).failing_rows == 1
+    assert one(df, RangeCheck("ADDRESS.N", min_val=2)).failing_rows == 2
+    assert one(df, RegexCheck("address.city", "^P")).passed
+    dotted = spark.createDataFrame([(1,), (None,)], "`a.b` int")
+    assert one(dotted, NotNullCheck("a.b")).failing_rows == 1
+
+
 def test_empty_table_passes_all_but_row_count(spark):
     df = spark.createDataFrame([], "x string, n int")
     suite = DataQualityChecker("empty")
