@@ -69,6 +69,15 @@ def test_unknown_status_only_warns(spark, folder):
     assert (metrics.rows_read, metrics.rows_written, metrics.rows_dropped) == (4, 4, 0)
 
 
+def test_partitioned_load_counts_every_row(spark, folder):
+    rows = [order(f"ORD-{n}", status="SHIPPED" if n % 3 else "PENDING", day=1 + n % 20) for n in range(300)]
+    metrics = load_orders(raw(spark, rows).repartition(8), folder + "/silver", partition_by=["status", "order_date"])
+    table = SnapshotTable(spark, folder + "/silver")
+    assert metrics.rows_written == table.read().count() == 300
+    assert len(table.snapshot().folders) == 40
+    assert metrics.to_dict()["dq_checks_passed"] == 6
+
+
 def test_closed_gate_publishes_nothing(spark, folder):
     bad = raw(spark, [order("ORD-001", price="-1.00")])
     with pytest.raises(DataQualityError, match="range:unit_price"):
