@@ -3,6 +3,7 @@
 from oreflow.operators.cleaning import (
     AddAuditColumns,
     AddIngestionColumns,
+    BaseTransformer,
     CastColumns,
     ComputeDerivedColumns,
     DropDuplicates,
@@ -19,11 +20,13 @@ from oreflow.operators.cleaning import (
 )
 from oreflow.operators.quality import (
     AcceptedValuesCheck,
+    BaseCheck,
     CheckResult,
     DataQualityChecker,
     DataQualityError,
     NotNullCheck,
     RangeCheck,
+    ReferentialCheck,
     RegexCheck,
     RowCountCheck,
     Severity,
@@ -38,6 +41,8 @@ __all__ = [
     "AcceptedValuesCheck",
     "AddAuditColumns",
     "AddIngestionColumns",
+    "BaseCheck",
+    "BaseTransformer",
     "CastColumns",
     "CheckResult",
     "ComputeDerivedColumns",
@@ -52,6 +57,7 @@ __all__ = [
     "NormaliseStrings",
     "NotNullCheck",
     "RangeCheck",
+    "ReferentialCheck",
     "RegexCheck",
     "RenameColumns",
     "RowCountCheck",

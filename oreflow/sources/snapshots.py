@@ -75,14 +75,6 @@ class Snapshot:
         return datetime.fromisoformat(self.committed_at)
 
 
-def _parse_time(timestamp: str | datetime) -> datetime:
-    """ISO text or datetime; UTC if it names no offset."""
-    moment = (
-        timestamp if isinstance(timestamp, datetime) else datetime.fromisoformat(str(timestamp))
-    )
-    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
-
-
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
@@ -122,7 +114,7 @@ class SnapshotTable:
             return self._load(version)
         if timestamp is None:
             return self._load(versions[-1])
-        moment = _parse_time(timestamp)
+        moment = self._moment(timestamp)
         older = bisect_right(versions, moment, key=lambda v: self._load(v).committed)
         if older == 0:
             raise ValueError(f"{timestamp} is before the first commit")
@@ -131,6 +123,16 @@ class SnapshotTable:
             raise ValueError(f"{timestamp} is after the last commit, {found.committed_at}")
         return found
 
+    def _moment(self, timestamp: str | datetime) -> datetime:
+        """A time as Spark reads it: in the session's zone unless it names its own."""
+        if isinstance(timestamp, datetime):
+            timestamp = timestamp.isoformat()
+        micros = F.unix_micros(F.lit(timestamp).try_cast("timestamp"))
+        found = self.spark.range(1).select(micros).first()[0]
+        if found is None:
+            raise ValueError(f"{timestamp!r} is not a timestamp")
+        return datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=found)
+
     def _commit(
         self,
         operation: str,

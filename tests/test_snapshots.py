@@ -152,6 +152,15 @@ def test_time_travel(spark, table, rows_of):
             table.read(timestamp=moment)
     with pytest.raises(ValueError, match="0..2"):
         table.read(version=7)
+    with pytest.raises(ValueError, match="not a timestamp"):
+        table.read(timestamp="yesterday noon")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        local = times[1] + datetime.timedelta(hours=9)
+        assert table.snapshot(timestamp=local.replace(tzinfo=None)).version == 1
+        assert table.snapshot(timestamp=times[1].isoformat().replace("+00:00", "Z")).version == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_missing_table(spark, table):
