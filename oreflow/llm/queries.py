@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm.decontamination import contaminated
+from oreflow.llm.languages import held_out, predicted, train_on
+from oreflow.llm.packing import packed
 from oreflow.llm.repeats import without_repeats
 from oreflow.llm.simhash import simhash_components
+from oreflow.llm.tokens import counted, vocabulary
+
+VOCABULARY = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,5 +45,43 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op6_suffix_dedup": op6_suffix_dedup}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    docs = table(spark, sf_dir, "documents")
+    return contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pieces(packed_docs: DataFrame) -> DataFrame:
+    """Packed pieces with a checksum in place of their ids."""
+    return packed_docs.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into sequences that mix their sources."""
+    return pieces(packed(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY)))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = train_on(docs)
+    return predicted(model, docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")).drop("text")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return counted(docs, vocabulary(VOCABULARY)).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_decontamination": op2_decontamination,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_packing": op7_packing,
+    "op8_language": op8_language,
+    "op9_token_counts": op9_token_counts,
+}
 ORACLES: dict[str, str] = {}
