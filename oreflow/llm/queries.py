@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.decontamination import contaminated
 from oreflow.llm.languages import held_out, predicted, train_on
 from oreflow.llm.packing import packed
+from oreflow.llm.quality_forest import judged
 from oreflow.llm.repeats import without_repeats
 from oreflow.llm.simhash import simhash_components
 from oreflow.llm.tokens import counted, vocabulary
@@ -76,6 +77,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document, and whether rules and forest keep it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    rows = judged(docs, table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", *[f"stats.{c}" for c in rules], "base_failed", "kept", "anomaly")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
@@ -83,5 +92,6 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
