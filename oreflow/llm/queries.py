@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.decontamination import contaminated
 from oreflow.llm.languages import held_out, predicted, train_on
+from oreflow.llm.licences import with_licences
+from oreflow.llm.oracles import ORACLES
 from oreflow.llm.packing import packed
+from oreflow.llm.preferences import neighbours_as_rejected, preference_rows
 from oreflow.llm.quality_forest import judged
 from oreflow.llm.repeats import without_repeats
 from oreflow.llm.simhash import simhash_components
 from oreflow.llm.tokens import counted, vocabulary
+from oreflow.llm.warc import derivatives, responses
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -77,6 +81,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences named in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_licences(docs).withColumn("score", F.round("score", 6)).drop("text", "found")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page's response."""
+    return derivatives(responses(table(spark, sf_dir, "pages")))
+
+
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its neighbour's last turn."""
+    chosen = table(spark, sf_dir, "conversations")
+    return preference_rows(chosen, neighbours_as_rejected(chosen))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document, and whether rules and forest keep it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,10 +109,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
+    "op3_licences": op3_licences,
+    "op4_warc": op4_warc,
+    "op5_preferences": op5_preferences,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
