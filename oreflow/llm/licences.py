@@ -26,8 +26,8 @@ from oreflow.llm.common import blank_text, quoted
 RARE_WORDS = 3
 LONG_TEMPLATE = 8
 LEAST_SHARE = 0.6
-#: ASCII digits and letters, and everything beyond ASCII.
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between words: ASCII but for digits and (lower-case) letters.
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def _lowered(text: Column) -> Column:
 
 
 def _words(text: str) -> Column:
-    return F.regexp_extract_all(_lowered(blank_text(text)), F.lit(WORD_PATTERN), F.lit(0))
+    return F.array_remove(F.split(_lowered(blank_text(text)), BETWEEN_WORDS), "")
 
 
 def word_idf(docs: DataFrame, text: str, templates: tuple[Template, ...]) -> dict[str, float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oreflow.llm.licences import BASE, LEAST_SHARE, LICENCES, LONG_TEMPLATE, RARE_WORDS, WORD_PATTERN
+from oreflow.llm.licences import BASE, LEAST_SHARE, LICENCES, LONG_TEMPLATE, RARE_WORDS
 from oreflow.llm.warc import ENTITIES, SPACES, STEPS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -18,11 +18,11 @@ def _licences() -> str:
         for number, t in enumerate(BASE + LICENCES)
         for at, word in enumerate(t.words)
     )
-    return f"""
+    return rf"""
 WITH shape(t, label, q, word, in_key) AS (VALUES {rows}),
 split AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
-         '{WORD_PATTERN}') AS words
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM documents
 ),
 placed AS (
