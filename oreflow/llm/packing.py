@@ -115,22 +115,22 @@ class Schedule:
         self.known[number] = begins, offsets
         return begins, offsets
 
-    def pieces(self, queue: int, place: int, count: int) -> Iterator[tuple[int, int, int, int]]:
-        """(start, length, sequence, offset) of the ``count`` tokens from ``place`` on."""
-        start, number = 0, self.segment_of(queue, place)
-        while start < count:
+    def pieces(self, queue: int, place: int, count: int) -> list[np.ndarray]:
+        """Start, length, sequence and offset of each piece of ``count`` tokens from ``place`` on."""
+        found, number, at, end = [], self.segment_of(queue, place), place, place + count
+        while at < end:
             begins, offsets = self.segment(number)
             edges = begins[:, queue]
-            window = int(np.searchsorted(edges, place + start, "right")) - 1
-            while start < count and window < len(offsets):
-                at = place + start
-                length = min(int(edges[window + 1]) - at, count - start)
-                if length > 0:
-                    offset = int(offsets[window, queue]) + at - int(edges[window])
-                    yield start, length, number * self.windows + window, offset
-                    start += length
-                window += 1
-            number += 1
+            stop = min(end, int(edges[-1]))
+            low = int(np.searchsorted(edges, at, "right")) - 1
+            high = int(np.searchsorted(edges, stop, "left"))
+            begin = np.maximum(edges[low:high], at)
+            length = np.minimum(edges[low + 1 : high + 1], stop) - begin
+            sequence = np.arange(low, high) + number * self.windows
+            rows = np.stack([begin - place, length, sequence, offsets[low:high, queue] + begin - edges[low:high]])
+            found.append(rows[:, length > 0])
+            at, number = stop, number + 1
+        return list(np.concatenate(found, axis=1))
 
 
 def _tokenised(docs: DataFrame, path: str, id: str, text: str, source: str) -> DataFrame:
@@ -235,17 +235,20 @@ def packed(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, out = [], []
+            of, parts, found = [], [], []
             queues, places, counts, ids = (batch.column(c).to_pylist() for c in range(1, 5))
             for at, (queue, place, count) in enumerate(zip(queues, places, counts, strict=True)):
-                data = ids[at]
-                for start, length, sequence, offset in schedule.pieces(queue, place, count):
-                    of.append(at)
-                    part = data[4 * start : 4 * (start + length)]
-                    out.append((start, length, part, count, sequence, offset))
-            columns = [
-                pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), list(arrow)[1:], strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), *columns], schema=arrow)
+                pieces = schedule.pieces(queue, place, count)
+                found.append(pieces)
+                data, ends = ids[at], (pieces[0] + pieces[1]).tolist()
+                parts += [data[4 * a : 4 * b] for a, b in zip(pieces[0].tolist(), ends, strict=True)]
+                of.append(len(ends))
+            if not of:
+                continue
+            start, length, sequence, offset = (np.concatenate(c) for c in zip(*found, strict=True))
+            owner = np.repeat(np.arange(len(of)), of)
+            columns = [start, length, parts, np.array(counts)[owner], sequence, offset]
+            columns = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), *columns], schema=arrow)
 
     return rows.mapInArrow(cut, schema)

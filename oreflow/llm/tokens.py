@@ -28,10 +28,11 @@ from oreflow.llm.common import blank_text
 #: Texts of more characters are counted in chunks of so many, which overlap by so many.
 CHUNK = 1 << 14
 OVERLAP = 1 << 8
-#: Words kept per process (forgotten all at once beyond that), and the longest that is kept.
-KEPT_WORDS = 600_000
+#: About how many words a process keeps, and the longest that is kept; others are encoded anew.
+KEPT_WORDS = 1_000_000
 KEPT_BYTES = 48
 _STORE = "_words_by_tokenizer"
+_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s|$)")
 _SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
 
 
@@ -63,6 +64,9 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.ids: dict[bytes, bytes] = {}
+        tokens = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends_word[[at for token, at in tokens.items() if token.endswith("</w>")]] = True
 
     @staticmethod
     def of(path: str) -> "Words":
@@ -77,23 +81,41 @@ class Words:
         data = text.encode()
         if data.isascii() and b"<|" not in data:
             data = data.lower()  # as the tokenizer does; not where it reads special tokens
-        words = data.split()
+        # After a letter and before white space these are words of their own to the tokenizer.
+        words = _MARK.sub(rb" \1", data).split()
         known = self.ids
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            pass
-        missing = list({word for word in words if word not in known})
-        if len(known) + len(missing) > KEPT_WORDS:
-            known.clear()
-            missing = list(set(words))
-        found = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in missing], add_special_tokens=False
+        found = list(map(known.get, words))
+        if None not in found:
+            return b"".join(found)
+        missing = list({word for word, ids in zip(words, found, strict=True) if ids is None})
+        new = self._encode_words(missing)
+        found = [new[word] if ids is None else ids for word, ids in zip(words, found, strict=True)]
+        if len(known) < KEPT_WORDS:
+            known.update((w, ids) for w, ids in new.items() if len(w) <= KEPT_BYTES)
+        return b"".join(found)
+
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that are not kept.
+
+        A word of letters has one token with the end-of-word mark, so such words are encoded
+        as one text and told apart by these; the others are encoded one by one.
+        """
+        texts = [word.decode() for word in words]
+        letters = [text for text in texts if text.isalpha()]
+        others = [text for text in texts if not text.isalpha()]
+        rows = self.tokenizer.encode_batch_fast([" ".join(letters), *others], add_special_tokens=False)
+        ids = np.array(rows[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        data = ids.tobytes()
+        found = {
+            text.encode(): data[4 * begin : 4 * end]
+            for text, begin, end in zip(letters, [0, *ends], ends, strict=False)
+        }
+        found.update(
+            (text.encode(), np.array(row.ids, "<u4").tobytes())
+            for text, row in zip(others, rows[1:], strict=True)
         )
-        new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(missing, found, strict=True)}
-        result = b"".join([known[word] if word in known else new[word] for word in words])
-        known.update((w, ids) for w, ids in new.items() if len(w) <= KEPT_BYTES)
-        return result
+        return found
 
 
 def _encoded(tokenizer, text: str, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
