@@ -38,11 +38,18 @@ def lenient_cast(column: Column, source: T.DataType, target: str) -> Column:
     ``try_cast`` raises and catches an exception for each, which is slow in bulk.
     """
     kind = target.strip().lower()
+    if isinstance(source, T.DateType) and (
+        kind in _INTEGRAL or kind == "boolean" or kind.startswith(_FRACTIONAL)
+    ):
+        return F.lit(None).cast(target)
     if not isinstance(source, T.StringType):
         return column.try_cast(target)
     if kind in _INTEGRAL:
         whole = F.regexp_extract(column, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
-        return F.nullif(whole, F.lit("")).try_cast(target)
+        fraction = column.rlike(r"^\s*[+-]?\.\d*\s*$")
+        return F.when(fraction, F.lit(0).cast(target)).otherwise(
+            F.nullif(whole, F.lit("")).try_cast(target)
+        )
     if kind == "boolean":
         text = F.lower(F.trim(column))
         return F.when(text.isin(_TRUE_TEXTS), True).when(text.isin(_FALSE_TEXTS), False)

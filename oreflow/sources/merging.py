@@ -28,7 +28,6 @@ class Staged:
     folders: list[str]
     schema: T.StructType
     partition_by: list[str]
-    size_bytes: int = 0
 
 
 def all_set(keys: list[str]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,17 +46,22 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
-def list_matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob pattern."""
-    files, location = _locate(spark, pattern)
-    found = files.globStatus(location) or []
-    return sorted(status.getPath().toString() for status in found)
+def partition_folders(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """Paths, relative to ``folder``, of its ``name=value`` folders ``depth`` levels down."""
+    found = [""]
+    for _ in range(depth):
+        found = [
+            f"{above}/{name}".lstrip("/")
+            for above in found
+            for name in list_names(spark, f"{folder}/{above}".rstrip("/"))
+            if "=" in name
+        ]
+    return found
 
 
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Total size of the files in a folder."""
-    files, location = _locate(spark, folder)
-    return files.getContentSummary(location).getLength()
+def literal_path(path: str) -> str:
+    """A path for Spark's readers, which would take these signs for patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -62,7 +62,6 @@ def read_versioned(
     path: str,
     version: int | None = None,
     timestamp: str | None = None,
-    **_: Any,
 ) -> DataFrame:
     """A versioned table now, at a version, or at a time; the version wins over the time."""
     return versioned_table(spark, path).read(version=version, timestamp=timestamp)

@@ -39,15 +39,14 @@ from oreflow.sources.merging import (
 )
 from oreflow.sources.paths import (
     create_text,
-    folder_bytes,
-    list_matching,
     list_names,
+    literal_path,
+    partition_folders,
     read_text,
     sql_text,
 )
 
 _BATCH = "_batch"
-SMALL_SOURCE_BYTES = 32 * 1024 * 1024  # on disk; a larger source is never broadcast
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
 
 
@@ -173,7 +172,7 @@ class SnapshotTable:
             return self.spark.createDataFrame([], schema)
         full = T.StructType([*schema.fields, T.StructField(_BATCH, T.StringType())])
         reader = self.spark.read.schema(full).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{folder}" for folder in folders])
+        return reader.parquet(*[literal_path(f"{self.path}/{folder}") for folder in folders])
 
     # -- writing -------------------------------------------------------------------
 
@@ -182,21 +181,19 @@ class SnapshotTable:
         df: DataFrame,
         partition_by: list[str],
         observe: Callable[[DataFrame], DataFrame] | None = None,
-        laid_out: bool = False,
     ) -> list[str]:
-        """Write rows to a new folder; the folders, one per partition value. Rows that
-        are not ``laid_out`` by partition yet are rebalanced first."""
+        """Write rows, rebalanced by partition, to a new folder; the folders, one per
+        partition value. Without rows there is none."""
         folder = f"{_BATCH}=b{uuid.uuid4().hex[:16]}"
-        rows = df if laid_out else rebalance(df, partition_by)
+        rows = rebalance(df, partition_by)
         writer = (observe(rows) if observe else rows).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/{folder}")
         if not partition_by:
-            return [folder]
-        depth = len(partition_by)
-        found = list_matching(self.spark, f"{self.path}/{folder}" + "/*=*" * depth)
-        return ["/".join(name.split("/")[-depth - 1 :]) for name in found]
+            return [] if self._scan([folder], df.schema).isEmpty() else [folder]
+        found = partition_folders(self.spark, f"{self.path}/{folder}", len(partition_by))
+        return [f"{folder}/{name}" for name in found]
 
     def _conform(
         self,
@@ -241,8 +238,7 @@ class SnapshotTable:
         folders = self._put(rows, parts, observe)
         tops = sorted({folder.split("/")[0] for folder in folders})
         written = self._scan(tops, schema).select(*map(named, schema.names))
-        size = sum(folder_bytes(self.spark, f"{self.path}/{top}") for top in tops)
-        return Staged(written, folders, schema, parts, size)
+        return Staged(written, folders, schema, parts)
 
     def write(
         self,
@@ -310,7 +306,7 @@ class SnapshotTable:
         if isinstance(df, Staged):
             staged = df
         elif partial:
-            staged = self._stage_aside(df, current)
+            staged = self._stage_aside(df, current, merge_keys)
         else:
             staged = self.stage(df, partition_by, merge_schema)
         if current is None and unique_source:
@@ -322,11 +318,7 @@ class SnapshotTable:
         if current is None:
             return self._commit("upsert", staged.schema, staged.partition_by, staged.folders, None)
 
-        # The staged size is known, and a small source makes every join below a
-        # broadcast. Rows then stay in the layout they are read in and need no rebalance.
-        small = staged.size_bytes <= SMALL_SOURCE_BYTES
         source = keyed(staged.df, merge_keys, null_safe)
-        source = F.broadcast(source) if small else source
         touched = self._touched(
             current, source, merge_keys, null_safe, profile.within_bounds(null_safe)
         )
@@ -345,23 +337,26 @@ class SnapshotTable:
                 rows = rows.unionByName(
                     updated(old, source, merge_keys, null_safe, changed, delete_condition)
                 )
-            folders += self._put(rows, current.partition_by, laid_out=small)
+            folders += self._put(rows, current.partition_by)
         else:
             schema, folders = staged.schema, list(staged.folders)
             if touched:
                 rows = lacking(old, source.select(*map(named, merge_keys)), merge_keys, null_safe)
-                folders += self._put(rows, current.partition_by, laid_out=small)
+                folders += self._put(rows, current.partition_by)
         return self._commit("upsert", schema, current.partition_by, [*kept, *folders], current)
 
-    def _stage_aside(self, df: DataFrame, current: Snapshot) -> Staged:
-        """Write a source, with all its columns, that is only to be merged from."""
+    def _stage_aside(self, df: DataFrame, current: Snapshot, keys: list[str]) -> Staged:
+        """Write a source, with all its columns, that is only to be merged from. Its keys
+        take the table's types, so that their range is that of the table's keys."""
         missing = [n for n in current.schema.names if n not in df.columns]
         if missing:
             raise ValueError(f"the source lacks columns of the table: {missing}")
         place = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        kinds = {f.name: f.dataType for f in current.schema}
+        df = df.withColumns({k: named(k).cast(kinds[k]) for k in keys})
         df.write.parquet(place)
-        size = folder_bytes(self.spark, place)
-        return Staged(self.spark.read.schema(df.schema).parquet(place), [], df.schema, [], size)
+        staged = self.spark.read.schema(df.schema).parquet(literal_path(place))
+        return Staged(staged, [], df.schema, [])
 
     def _touched(
         self,
@@ -383,6 +378,8 @@ class SnapshotTable:
         hit_folders = hits.select("__file").distinct().select(folder).distinct()
         depth = 1 + len(current.partition_by)
         found = {"/".join(unquote(row[0]).split("/")[-depth:]) for row in hit_folders.collect()}
+        if unknown := found - set(current.folders):
+            raise RuntimeError(f"matches in folders the version does not name: {sorted(unknown)}")
         return [f for f in current.folders if f in found]
 
     # -- comparing and registering -------------------------------------------------

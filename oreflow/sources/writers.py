@@ -19,10 +19,12 @@ def write_files(
     mode: str,
     partition_by: list[str] | None = None,
     dynamic_overwrite: bool = False,
-    rebalanced: bool = False,
+    rebalanced: bool | None = None,
     options: dict[str, Any] | None = None,
 ) -> None:
-    """``dynamic_overwrite`` replaces only the partitions that ``df`` has rows for."""
+    """``dynamic_overwrite`` replaces only the partitions that ``df`` has rows for. Rows
+    are ``rebalanced`` by partition unless that is declined or there are no partitions."""
+    rebalanced = bool(partition_by) if rebalanced is None else rebalanced
     writer = (rebalance(df, partition_by) if rebalanced else df).write.format(format).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -42,7 +44,7 @@ class ParquetWriter:
         mode: str = "overwrite",
         partition_by: list[str] | None = None,
         dynamic_overwrite: bool = False,
-        rebalanced: bool = False,
+        rebalanced: bool | None = None,
         **options: Any,
     ) -> None:
         write_files(
@@ -84,7 +86,6 @@ class VersionedWriter:
         partition_by: list[str] | None = None,
         overwrite_schema: bool = False,
         merge_schema: bool = False,
-        **_: Any,
     ) -> None:
         versioned_table(self.spark, path).write(
             df, mode, partition_by, overwrite_schema, merge_schema

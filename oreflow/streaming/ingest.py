@@ -28,14 +28,24 @@ DEFAULT_TRIGGER = "30 seconds"
 MESSAGE_SCHEMA = "value binary, offset long, partition int, timestamp timestamp"
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Messages of a Kafka topic. Needs Spark's Kafka connector on the classpath."""
+def kafka_source(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    fail_on_data_loss: bool = True,
+    max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+    **options: str,
+) -> DataFrame:
+    """Messages of a Kafka topic. Needs Spark's Kafka connector on the classpath.
+
+    Offsets that are gone fail the query unless ``fail_on_data_loss`` is switched off.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", MAX_OFFSETS_PER_TRIGGER)
-        .option("failOnDataLoss", "false")
+        .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .options(**options)
         .load()
     )

@@ -8,7 +8,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from oreflow import SnapshotTable, create_reader, create_writer
-from oreflow.sources import snapshots
 from oreflow.sources.merging import lacking, profile_keys
 from oreflow.sources.snapshots import MergeConflictError
 
@@ -270,9 +269,8 @@ ROWS = st.dictionaries(st.one_of(st.none(), st.sampled_from("abcdef")), st.integ
 def test_any_sequence_of_upserts_is_a_dict_update(spark, batches, parts, columns, large):
     """Against a plain dict, NULL being a key (null_safe), with and without broadcasts."""
     table, model = SnapshotTable(spark, tempfile.mkdtemp(prefix="run-") + "/t"), {}
-    limit, threshold = snapshots.SMALL_SOURCE_BYTES, "spark.sql.autoBroadcastJoinThreshold"
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
     if large:
-        snapshots.SMALL_SOURCE_BYTES = -1
         spark.conf.set(threshold, "-1")
     try:
         for batch in batches:
@@ -288,7 +286,6 @@ def test_any_sequence_of_upserts_is_a_dict_update(spark, batches, parts, columns
             got = [(r["k"], r["v"]) for r in table.read().collect()]
             assert dict(got) == model and len(got) == len(model)
     finally:
-        snapshots.SMALL_SOURCE_BYTES = limit
         spark.conf.unset(threshold)
 
 
@@ -299,6 +296,37 @@ def test_small_source_leaves_the_table_unshuffled(spark, table):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_identical_loads_leave_one_live_folder(spark, table):
+    rows = spark.range(100).selectExpr("id as k", "id * 2 as v")
+    for _ in range(5):
+        last = table.upsert(rows, ["k"])
+    assert len(last.folders) == 1 and table.read().count() == 100
+
+
+@pytest.mark.parametrize("kinds", ["bigint string", "string bigint", "int bigint", "date string"])
+@pytest.mark.parametrize("options", [{}, {"update_columns": ["v"]}])
+def test_source_keys_of_another_type(spark, table, kinds, options):
+    """Text sorts '10' before '9': the key range is that of the table's type."""
+    target, source = kinds.split()
+    first = ["2024-01-09", "2024-01-10"] if target == "date" else ["9", "10", "50"]
+    frame = spark.createDataFrame([(k, "A") for k in first], "k string, v string")
+    table.upsert(frame.selectExpr(f"cast(k as {target}) k", "v"), ["k"])
+    new = spark.createDataFrame([(k, "b") for k in first[:2]], "k string, v string")
+    table.upsert(new.selectExpr(f"cast(k as {source}) k", "v"), ["k"], **options)
+    got = sorted((str(r["k"]), r["v"]) for r in table.read().collect())
+    assert got == sorted([(k, "b") for k in first[:2]] + [(k, "A") for k in first[2:]])
+
+
+@pytest.mark.parametrize("name", ["a[1]", "a{1}", "a*b", "a?b", "a b"])
+@pytest.mark.parametrize("parts", [None, ["p"]])
+def test_odd_paths_lose_nothing(spark, folder, name, parts):
+    odd = SnapshotTable(spark, f"{folder}/{name}")
+    rows = spark.range(6).selectExpr("id as k", "id % 2 as p")
+    odd.write(rows, partition_by=parts)
+    odd.upsert(rows.selectExpr("k + 3 as k", "p"), ["k"], update_columns=["p"])
+    assert odd.read().count() == 9
+
+
 def test_key_range_reaches_the_scan(spark, table):
     table.write(kv(spark, [("a", 1), ("b", 2)]))
     profile = profile_keys(kv(spark, [("b", 3), ("d", 4), (None, 5)]), ["k"], False, True)

@@ -30,7 +30,7 @@ def trim_strings(spark, sf_dir):
 
 def trim_whitespace(spark, sf_dir):
     padded = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.concat(F.lit("\t \n"), "text", F.lit(" \n\t")).alias("text")
+        "conv_id", "turn", "role", F.concat(F.lit("\t \n"), "text", F.lit(" \n\t")).alias("text")
     )
     return padded.transform(TrimStrings(whitespace="all"))
 
@@ -182,7 +182,7 @@ ENTRIES = {
     "trim_strings": (trim_strings, raw_sql(f"SELECT {_TRIMMED} FROM raw_orders")),
     "trim_whitespace": (
         trim_whitespace,
-        r"""SELECT conv_id, turn, regexp_replace(chr(9) || ' ' || chr(10) || text || ' ' || chr(10)
+        r"""SELECT conv_id, turn, role, regexp_replace(chr(9) || ' ' || chr(10) || text || ' ' || chr(10)
             || chr(9), '^\s+|\s+$', '', 'g') AS text FROM conversations""",
     ),
     "drop_duplicates_exact": (drop_duplicates_exact, raw_sql("SELECT DISTINCT * FROM raw_orders")),

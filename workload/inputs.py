@@ -100,7 +100,8 @@ silver AS (
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in the raw schema, building-segment ones delivered twice."""
+    """Customers in the raw schema; building-segment ones come again with a later date and
+    with text that is none."""
     customer = table(spark, sf_dir, "customer")
     parts = F.split("c_name", "#")
     first = customer.select(
@@ -114,7 +115,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") > 0, "2024-01-15").otherwise("unknown").alias("signup_date"),
         F.col("c_mktsegment").alias("segment"),
     )
-    return first.unionAll(first.filter("segment = 'BUILDING'"))
+    again = first.filter("segment = 'BUILDING'")
+    later = again.withColumn("signup_date", F.lit("2024-03-01"))
+    return first.unionAll(later).unionAll(again.withColumn("signup_date", F.lit("pending")))
 
 
 RAW_CUSTOMERS_SQL = """
@@ -128,6 +131,16 @@ raw_customers AS (
          CASE WHEN c_acctbal > 0 THEN '2024-01-15' ELSE 'unknown' END AS signup_date,
          c_mktsegment AS segment
   FROM customer
+),
+delivered_customers AS (
+  SELECT * FROM raw_customers
+  UNION ALL SELECT * REPLACE ('2024-03-01' AS signup_date) FROM raw_customers WHERE segment = 'BUILDING'
+  UNION ALL SELECT * REPLACE ('pending' AS signup_date) FROM raw_customers WHERE segment = 'BUILDING'
+),
+ranked_customers AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY customer_id ORDER BY TRY_CAST(signup_date AS DATE) DESC NULLS LAST) AS place
+  FROM delivered_customers
 )
 """
 
@@ -140,7 +153,7 @@ silver_customers AS (
          upper(substr(trim(first_name), 1, 1)) || lower(substr(trim(first_name), 2))
            || ' ' || upper(trim(last_name)) AS full_name,
          upper(coalesce(country, 'UNKNOWN')) AS country_code
-  FROM raw_customers
+  FROM ranked_customers WHERE place = 1
 )
 """
 )

@@ -251,7 +251,49 @@ runs AS (
   SELECT *, '2024-01-02T08:00:00+00:00' AS run_ts FROM ({" UNION ALL ".join(_LINES)})
 )"""
 
+def default_thresholds(spark, sf_dir):
+    """The suite's thresholds hold where a check has none, also against an explicit 0.0."""
+    suite = DataQualityChecker("raw.orders", null_threshold=0.5, duplicate_threshold=0.9)
+    suite.add_check(NotNullCheck("customer_id")).add_check(NotNullCheck("order_id", threshold=0.0))
+    suite.add_check(UniquenessCheck("order_id"))
+    return results(suite, raw_orders(spark, sf_dir))
+
+
+def range_text(spark, sf_dir):
+    rows = raw_orders(spark, sf_dir).withColumn("day", F.col("order_date").cast("string"))
+    return results(suite_of(RangeCheck("day", min_val="1995-01-01", max_val="1997-12-31")), rows)
+
+
 ENTRIES = {
+    "dq_default_thresholds": (
+        default_thresholds,
+        joined(
+            order_row("not_null:customer_id", "fail", failing("customer_id IS NULL"), 0.5),
+            order_row("not_null:order_id", "fail", failing("order_id IS NULL")),
+            order_row("unique:order_id", "fail", repeats("raw_orders", "order_id"), 0.9),
+        ),
+    ),
+    "dq_range_text": (
+        range_text,
+        joined(
+            order_row(
+                "range:day",
+                "fail",
+                failing(
+                    "strftime(order_date, '%Y-%m-%d') < '1995-01-01'"
+                    " OR strftime(order_date, '%Y-%m-%d') > '1997-12-31'"
+                ),
+            )
+        ),
+    ),
+    "dq_accepted_mixed": (
+        on_raw_orders(lambda: AcceptedValuesCheck("channel", [1, 2, "  urgent"])),
+        joined(
+            order_row(
+                "accepted_values:channel", "warn", failing("channel NOT IN ('1', '2', '  urgent')")
+            )
+        ),
+    ),
     "dq_not_null": (
         on_raw_orders(
             lambda: NotNullCheck("order_id"),
