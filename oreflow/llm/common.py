@@ -42,6 +42,22 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def packed_rows(docs: DataFrame, text: str, id: str | None = None) -> DataFrame:
+    """``text``, ``id`` and all other columns in the struct ``whole``: no name can clash."""
+    others = [F.col(quoted(c)) for c in docs.columns if c != text]
+    columns = [F.struct(F.lit(True).alias("\u0001row"), *others).alias("whole")]
+    if id is not None:
+        columns.append(F.col(quoted(id)).alias("id"))
+    return docs.select(*columns, F.col(quoted(text)).alias("text"))
+
+
+def unpacked_rows(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` from rows that ``packed_rows`` has packed."""
+    return rows.select(
+        *[F.col("text" if c == text else f"whole.{quoted(c)}").alias(c) for c in docs.columns]
+    )
+
+
 def with_fields(schema: T.StructType, fields: list[tuple[str, str]]) -> T.StructType:
     """``schema`` followed by new fields; fields of the same name (in any case) give way."""
     new = {name.lower() for name, _ in fields}

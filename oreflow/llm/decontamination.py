@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import blank_text, quoted, saved
+from oreflow.llm.common import blank_text, packed_rows, quoted, saved, unpacked_rows
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -293,7 +293,5 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the texts that hold an item of ``benchmark``."""
-    packed = docs.select(
-        F.struct(*[quoted(c) for c in docs.columns]).alias("whole"), F.col(quoted(text)).alias("text")
-    )
-    return with_matches(packed, benchmark).where(F.size("matches") == 0).select("whole.*")
+    kept = with_matches(packed_rows(docs, text), benchmark).where(F.size("matches") == 0)
+    return unpacked_rows(kept, docs, text)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import blank_text, quoted
+from oreflow.llm.common import blank_text, packed_rows, quoted, unpacked_rows
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -205,9 +205,8 @@ def predicted(model: Model | None, docs: DataFrame, text: str = "text") -> DataF
         predictor = _Predictor(model)
         for texts in batches:
             found = []
-            values = [t.encode() for t in texts]
-            for at in range(0, len(values), 256):
-                best, score = predictor.texts(values[at : at + 256])
+            for at in range(0, len(texts), 64):
+                best, score = predictor.texts([t.encode() for t in texts[at : at + 64]])
                 found += [(model.languages[b], float(s)) for b, s in zip(best, score, strict=True)]
             yield pd.DataFrame(found, columns=["lang", "score"])
 
@@ -229,9 +228,6 @@ def keep_identified(docs: DataFrame, id: str = "doc_id", text: str = "text", lan
     model, and all documents go.
     """
     model = train_on(docs, id, text, lang)
-    packed = docs.select(
-        F.struct(*[quoted(c) for c in docs.columns]).alias("whole"), F.col(quoted(text)).alias("text")
-    )
-    found = predicted(model, packed, "text")
+    found = predicted(model, packed_rows(docs, text), "text")
     kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("whole.*")
+    return unpacked_rows(kept, docs, text)

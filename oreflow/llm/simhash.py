@@ -26,7 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import arrow_schema, quoted, runs_of, saved, with_arrays, with_fields
+from oreflow.llm.common import (
+    arrow_schema,
+    packed_rows,
+    quoted,
+    runs_of,
+    saved,
+    unpacked_rows,
+    with_arrays,
+    with_fields,
+)
 from oreflow.llm.components import components
 
 MAX_BITS = 3
@@ -66,15 +75,15 @@ def fingerprint(text: str | None, words_per_shingle: int = 3, seed: int = 42) ->
 
 def with_fingerprints(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """The ``keep`` columns and ``fingerprint``, the 64 bits as a signed long."""
-    source = docs.select(
-        *[quoted(c) for c in keep], F.col(quoted(text)).cast("string").alias("\u0001text")
-    )
+    # The text travels once, also if it is kept.
+    sent = [*keep, text] if text not in keep else keep
+    source, at = docs.select(*[quoted(c) for c in sent]), sent.index(text)
     schema = with_fields(docs.select(*[quoted(c) for c in keep]).schema, [("fingerprint", "long")])
     arrow = arrow_schema(schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at)
             found = np.array([fingerprint(t.as_py()) for t in texts], np.uint64)
             yield with_arrays(batch, arrow, {"fingerprint": found.view(np.int64)})
 
@@ -244,15 +253,11 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     The row with the smallest id stays (the earliest among repeated rows). Where a component
     has null ids only, a row of each of its fingerprints stays.
     """
-    packed = docs.select(
-        F.struct(*[quoted(c) for c in docs.columns]).alias("whole"),
-        F.col(quoted(id)).alias("id"),
-        F.col(quoted(text)).alias("text"),
-    )
-    marked = simhash_components(packed, "id", "text", keep=["whole", "id"])
+    packed = packed_rows(docs, text, id)
+    marked = simhash_components(packed, "id", "text", keep=["whole", "id", "text"])
     groups = marked.groupBy(
         "component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))
     )
     first = groups.agg(F.min(F.struct(F.col("id").isNull(), "id", "row_in_run")).alias("first"))
     kept = first.select(F.col("first.row_in_run").alias("row_in_run"))
-    return marked.join(kept, "row_in_run", "left_semi").select("whole.*")
+    return marked.join(kept, "row_in_run", "left_semi").transform(unpacked_rows, docs, text)
