@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from oreflow.llm.common import (
     arrow_schema,
     blank_text,
+    packed_rows,
     quoted,
     runs_of,
     saved,
@@ -47,7 +48,7 @@ PIECE = 1 << 17
 #: Bytes of fragments that one suffix array covers; an anchor is never split between two.
 SHARD = 1 << 20
 #: Occurrences from which an anchor with different fragments is counted by window hashes.
-CROWDED = 2000
+CROWDED = 20_000
 _PLACE_BITS = 24
 _SEPARATOR = b"\xff"  # stands in no UTF-8 text
 
@@ -391,11 +392,7 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     A character that loses some of its bytes goes whole; a null text becomes empty. All
     rows stay.
     """
-    cleaned = without_repeats(
-        docs.select(F.struct(*[quoted(c) for c in docs.columns if c != text]).alias("whole"),
-                    F.col(quoted(id)).alias("id"), F.col(quoted(text)).alias("text")),
-        "id", "text", as_text=True,
-    )
+    cleaned = without_repeats(packed_rows(docs, text, id), "id", "text", as_text=True)
     columns = []
     for c in docs.columns:
         if c == text:
