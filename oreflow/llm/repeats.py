@@ -303,16 +303,27 @@ def _spans(keyed: DataFrame) -> DataFrame:
     crowded = _crowded_windows(cut.where("crowded").dropDuplicates(["anchor", "content"]))
     found = sorted_found.union(crowded)
 
-    part = mixed.join(found, ["anchor", "content"]).select(
-        "id", "check", (F.col("start") + F.col("first")).alias("begin"),
-        (F.col("start") + F.col("last") + WINDOW).alias("end"),
+    # One row per fragment, so that a fragment's many copies meet one row each.
+    listed = found.groupBy("anchor", "content").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")
     )
+    part = mixed.join(listed, ["anchor", "content"]).select(
+        "id",
+        "check",
+        F.transform(
+            "runs",
+            lambda run: F.struct(
+                (F.col("start") + run["first"]).alias("begin"),
+                (F.col("start") + run["last"] + WINDOW).alias("end"),
+            ),
+        ).alias("spans"),
+    )
+    end = F.col("start") + F.col("windows") - 1 + WINDOW
     whole = repeated.where("not mixed").select(
-        "id", "check", F.col("start").alias("begin"),
-        (F.col("start") + F.col("windows") - 1 + WINDOW).alias("end"),
+        "id", "check", F.array(F.struct(F.col("start").alias("begin"), end.alias("end"))).alias("spans")
     )
     spans = whole.union(part).groupBy("id", "check")
-    return spans.agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    return spans.agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
