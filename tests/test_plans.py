@@ -43,6 +43,10 @@ def test_row_checks_share_one_scan_and_uniqueness_reads_only_its_keys(lineitem):
     assert "Expand" not in text
 
 
+def test_nested_key_sets_are_counted_in_one_pass(spark):
+    assert plan(QUERIES["dq_suite"](spark, SF)).count("FileScan") == 6
+
+
 def test_referential_check_joins_counted_keys(lineitem, spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     suite = DataQualityChecker("lineitem").add_check(ReferentialCheck("l_orderkey", orders, "o_orderkey"))

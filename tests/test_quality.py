@@ -252,3 +252,15 @@ def test_check_with_a_run_of_its_own(spark):
 def test_summarise(spark):
     row = summarise(make_suite().results(dirty(spark))).first()
     assert (row["total_checks"], row["passed"], row["failed"]) == (7, 1, 6)
+
+
+def test_nested_uniqueness_checks_agree_with_single_ones(spark):
+    rows = [(1, "x", None), (1, "x", None), (1, "y", 2), (None, "x", 3), (None, "x", 3), (2, "z", 4)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    keys = [["a"], ["c", "b"], ["a", "b", "c"], ["b", "a"], ["b"], ["a", "a"]]
+    suite = DataQualityChecker("nested")
+    for columns in keys:
+        suite.add_check(UniquenessCheck(columns))
+    got = [(r.total_rows, r.failing_rows) for r in suite.run(df)]
+    assert got == [(6, 6 - len({tuple(r["abc".index(c)] for c in k) for r in rows})) for k in keys]
+    assert [(r.total_rows, r.failing_rows) for r in suite.run(df.limit(0))] == [(0, 0)] * len(keys)
