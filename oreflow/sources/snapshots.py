@@ -387,13 +387,13 @@ class SnapshotTable:
     def diff(self, from_version: int, to_version: int, keys: list[str]) -> DataFrame:
         """Keys whose rows differ between two versions, as added, removed or changed.
 
-        Folders both versions share hold the same rows and are not read. The rest is
-        compared by counting equal rows on each side, without a join, so repeated and
-        NULL keys do not multiply. Keys are taken to lie in one folder per version,
-        which holds if they are unique.
+        Folders both versions share hold the same rows; of them only the keys are read, to
+        tell a key that was there before and still is from one that came or went. The rest
+        is compared by counting equal rows on each side, without a join, so repeated and
+        NULL keys do not multiply.
         """
         old, new = self.snapshot(from_version), self.snapshot(to_version)
-        shared = set(old.folders) & set(new.folders)
+        shared = sorted(set(old.folders) & set(new.folders))
         sides = []
         for snapshot, before in ((old, 1), (new, 0)):
             own = [f for f in snapshot.folders if f not in shared]
@@ -409,10 +409,14 @@ class SnapshotTable:
             .otherwise("changed")
         )
         unequal = F.count_if(F.col("__before") != F.col("__after")).alias("__unequal")
+        counted = rows.groupBy(*map(named, values)).agg(before, after)
+        counted = counted.select(*map(named, keys), "__before", "__after")
+        if shared:
+            kept = self._scan(shared, new.schema).select(*map(named, keys))
+            once = {"__before": F.lit(1), "__after": F.lit(1)}
+            counted = counted.unionByName(kept.withColumns(once))
         return (
-            rows.groupBy(*map(named, values))
-            .agg(before, after)
-            .groupBy(*map(named, keys))
+            counted.groupBy(*map(named, keys))
             .agg(unequal, before, after)
             .filter("__unequal > 0")
             .select(*map(named, keys), change.alias("change"))

@@ -176,6 +176,13 @@ def test_diff(spark, table, rows_of):
     assert table.diff(1, 1, ["k"]).count() == 0
 
 
+def test_diff_of_repeated_keys(spark, table, rows_of):
+    table.write(kv(spark, [("a", 1), ("b", 2), (None, 3), (None, 3)]))
+    table.write(kv(spark, [("a", 1), ("c", 4), (None, 5)]))
+    assert rows_of(table.diff(0, 1, ["k"])) == [(None, "changed"), ("a", "changed"), ("c", "added")]
+    assert rows_of(table.diff(1, 0, ["k"])) == [(None, "changed"), ("a", "changed"), ("c", "removed")]
+
+
 def test_rollback_copies_nothing(spark, table, rows_of):
     table.upsert(kv(spark, [("a", 1)]), ["k"])
     table.upsert(kv(spark, [("a", 2)]), ["k"])

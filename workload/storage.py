@@ -196,6 +196,15 @@ def version_diff(spark, sf_dir):
     return loaded(spark, sf_dir)[0].diff(0, 1, ["o_orderkey"])
 
 
+def version_diff_appended(spark, sf_dir):
+    """Open orders are appended to a table that has them, so their keys repeat."""
+    base, changes = base_and_changes(spark, sf_dir)
+    orders = SnapshotTable(spark, scratch_path(spark, "orders"))
+    orders.write(base)
+    orders.write(changes)
+    return orders.diff(0, 1, ["o_orderkey"])
+
+
 def rollback(spark, sf_dir):
     orders, _ = loaded(spark, sf_dir)
     orders.rollback(0)
@@ -320,6 +329,13 @@ ENTRIES = {
              FROM base b FULL JOIN changes c ON b.o_orderkey = c.o_orderkey
              WHERE c.o_orderkey IS NOT NULL""",
     ),
+    "version_diff_appended": (
+        version_diff_appended,
+        _TABLES
+        + """SELECT o_orderkey,
+               CASE WHEN o_orderkey IN (SELECT o_orderkey FROM base) THEN 'changed'
+                 ELSE 'added' END AS change FROM changes""",
+    ),
     "rollback": (rollback, BASE_SQL),
     "schema_evolution": (
         schema_evolution,
