@@ -9,7 +9,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from oreflow.sources.merging import Staged
-from oreflow.sources.paths import sql_text
+from oreflow.sources.paths import literal_path, sql_text
+
+
+# The error conditions that say there is no table.
+_ABSENT = (
+    "DELTA_MISSING_DELTA_TABLE",
+    "DELTA_PATH_DOES_NOT_EXIST",
+    "DELTA_TABLE_NOT_FOUND",
+    "PATH_NOT_FOUND",
+    "TABLE_OR_VIEW_NOT_FOUND",
+)
 
 
 def has_delta(spark: SparkSession) -> bool:
@@ -17,7 +27,7 @@ def has_delta(spark: SparkSession) -> bool:
 
 
 class DeltaTable:
-    """The same calls as ``SnapshotTable``, carried out by Delta."""
+    """Reads, writes, upserts and registration as ``SnapshotTable`` has them, by Delta."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
@@ -26,7 +36,9 @@ class DeltaTable:
     def exists(self) -> bool:
         try:
             self.spark.sql(f"DESCRIBE DETAIL {self.name}").collect()
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() not in _ABSENT:
+                raise
             return False
         return True
 
@@ -66,7 +78,8 @@ class DeltaTable:
         """Write rows next to the table, to be checked and then passed to ``upsert``."""
         place = f"{self.path.rstrip('/')}__staging/{uuid.uuid4().hex}"
         (observe(df) if observe else df).write.parquet(place)
-        return Staged(self.spark.read.schema(df.schema).parquet(place), [], df.schema, [])
+        written = self.spark.read.schema(df.schema).parquet(literal_path(place))
+        return Staged(written, [], df.schema, list(partition_by or []))
 
     def upsert(
         self,
@@ -75,18 +88,23 @@ class DeltaTable:
         update_columns: list[str] | None = None,
         delete_condition: str | None = None,
         null_safe: bool = False,
-        **_: object,
+        merge_schema: bool = False,
+        unique_source: bool = False,
+        partition_by: list[str] | None = None,
     ) -> None:
-        df = df.df if isinstance(df, Staged) else df
+        """Delta itself looks for repeated source keys, so ``unique_source`` changes nothing."""
+        if isinstance(df, Staged):
+            df, partition_by = df.df, df.partition_by
         if not self.exists():
-            self.write(df, "overwrite")
+            self.write(df, "error", partition_by)
             return
+        evolving = "WITH SCHEMA EVOLUTION" if merge_schema else ""
         equals = "<=>" if null_safe else "="
         on = " AND ".join(f"target.`{k}` {equals} source.`{k}`" for k in merge_keys)
         changes = ", ".join(f"target.`{c}` = source.`{c}`" for c in update_columns or [])
         delete = f"WHEN MATCHED AND ({delete_condition}) THEN DELETE" if delete_condition else ""
         self.spark.sql(
-            f"MERGE INTO {self.name} AS target USING {{source}} AS source ON {on} {delete} "
+            f"MERGE {evolving} INTO {self.name} AS target USING {{source}} AS source ON {on} {delete} "
             f"WHEN MATCHED THEN UPDATE SET {changes or '*'} WHEN NOT MATCHED THEN INSERT *",
             source=df,
         )
