@@ -21,6 +21,7 @@ from oreflow.operators.cleaning import (
     TrimStrings,
     compose,
 )
+from oreflow.sources.schemas import get_schema
 from workload.inputs import RAW_ORDERS_SQL, raw_orders, table
 
 
@@ -157,6 +158,13 @@ def enforce_schema(spark, sf_dir):
     return raw_orders(spark, sf_dir).transform(EnforceSchema(TARGET, strict=False))
 
 
+def enforce_schema_strict(spark, sf_dir):
+    """Orders as text, with a column too many, in the registered schema."""
+    texts = {c: F.col(c).cast("string") for c in ("quantity", "unit_price", "order_date")}
+    rows = raw_orders(spark, sf_dir).withColumns({**texts, "note": F.lit("none")})
+    return rows.transform(EnforceSchema(get_schema("raw.orders")))
+
+
 def mask_pii(spark, sf_dir):
     return table(spark, sf_dir, "customer").transform(
         MaskPiiColumns(["c_name", "c_nationkey", "absent"], salt="pepper")
@@ -281,6 +289,7 @@ ENTRIES = {
                  CAST(quantity AS BIGINT) AS quantity FROM raw_orders"""
         ),
     ),
+    "enforce_schema_strict": (enforce_schema_strict, raw_sql("SELECT * FROM raw_orders")),
     "mask_pii": (
         mask_pii,
         """SELECT c_custkey, sha256(c_name || 'pepper') AS c_name,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from oreflow.operators.cleaning import TrimStrings
 from oreflow.sources.paths import scratch_path
-from oreflow.streaming.ingest import StreamIngest, file_source, parse_messages
+from oreflow.streaming.ingest import StreamIngest, batch_writer, file_source, parse_messages
 from workload.inputs import table
 
 
@@ -53,6 +54,16 @@ def stream_ingest(spark, sf_dir):
     return plain(spark.read.parquet(ingest.target))
 
 
+def stream_replayed(spark, sf_dir):
+    """Two batches, the first written again under its number, as after a failure."""
+    target = scratch_path(spark, "lake")
+    rows = parse_messages(messages(spark, sf_dir))
+    write = batch_writer(target, TrimStrings())
+    for batch_id in (0, 1, 0):
+        write(rows.filter(F.col("offset") % 2 == batch_id), batch_id)
+    return plain(spark.read.parquet(target))
+
+
 _FIELDS = """CASE WHEN ok THEN 'ORD-' || o_orderkey END AS order_id,
   CASE WHEN ok THEN 'CUST-' || o_custkey END AS customer_id,
   CAST(NULL AS VARCHAR) AS product_id,
@@ -77,4 +88,9 @@ ENTRIES = {
               CASE WHEN ok AND o_orderstatus <> 'P' THEN o_orderstatus END AS status,
               'orders_streaming' AS _pipeline_name, 'dev' AS _env {_FROM}""",
     ),
+    "stream_replayed": (
+        stream_replayed,
+        f"""SELECT {_FIELDS},
+              CASE WHEN ok AND o_orderstatus <> 'P' THEN o_orderstatus END AS status {_FROM}""",
+    ),
 }
