@@ -2,8 +2,8 @@
 
 A tree splits a small sample at random statistics and values until its rows are alone; a row
 that is alone early is unlike the others. The mean depth over all trees gives a score, 1 for
-the most anomalous. The threshold comes from labelled rows: a text is an anomaly if it scores
-above all but ``LOST`` of the texts labelled good.
+the most anomalous. The threshold comes from all labelled rows: it is the score at which the
+share of bad texts above it exceeds the share of good texts above it by most.
 """
 
 from collections import Counter
@@ -23,7 +23,9 @@ SYMBOLS = "#*$%&|<>"
 #: The forest: trees, rows of a tree's sample; together the bound of the rows that it learns from.
 TREES = 100
 TREE_ROWS = 256
-#: The share of good labelled texts that may score above the threshold.
+#: The bins of scores whose labels are counted for the threshold.
+BINS = 10_000
+#: The share of good labelled texts that may score above the threshold, if none is labelled bad.
 LOST = 0.005
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_letters")
 _EULER = 0.5772156649015329
@@ -145,13 +147,37 @@ class Forest:
         return 2.0 ** (-total / len(self.trees) / usual)
 
 
+def best_threshold(bins: list[tuple[float, int, int]]) -> float:
+    """The threshold for (highest score, good, bad) of bins in the order of their scores.
+
+    Of thresholds that part as well the highest is taken. Without bad texts ``LOST`` of the
+    good ones may lie above it; without good ones it is 1.
+    """
+    all_good, all_bad = (sum(b[at] for b in bins) for at in (1, 2))
+    if not all_good:
+        return 1.0
+    if not all_bad:
+        above = 0
+        for highest, good, _ in reversed(bins):
+            above += good
+            if above > LOST * all_good:
+                return highest
+    # In whole numbers: (bad above / all bad - good above / all good) * all good * all bad.
+    best, threshold, lead = 0, 1.0, 0
+    for before, (_, good, bad) in zip([*bins[-2::-1], (0.0, 0, 0)], bins[::-1], strict=True):
+        lead += bad * all_good - good * all_bad
+        if lead > best:
+            best, threshold = lead, before[0]
+    return threshold
+
+
 def scored(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality") -> tuple[DataFrame, float]:
     """(rows, threshold): ``docs`` but its text, with ``stats``, ``base_failed`` and ``anomaly``.
 
     The forest learns from at most ``TREES * TREE_ROWS`` texts that pass the base rules,
-    chosen by a hash of their statistics and id. The threshold is the quantile of all texts
-    that pass and are labelled good (``quality`` 1); without such labels it is 1, which no
-    text exceeds. Null texts are empty, and fail the base rules. A null id has no label;
+    chosen by a hash of their statistics and id. The threshold is ``best_threshold`` of all
+    texts that pass and are labelled good (``quality`` 1) or bad (0), counted on the executors
+    by bins of their scores; at 1 no text exceeds it. Null texts are empty, and fail the base rules. A null id has no label;
     repeated rows are judged alike.
     """
     others = [quoted(c) for c in docs.columns if c.lower() not in {text.lower(), "stats", "base_failed", "anomaly"}]
@@ -179,10 +205,15 @@ def scored(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
             yield pd.Series(forest.scores(features(stats[list(STATISTICS)].to_numpy())))
 
     rows = rows.withColumn("anomaly", score("stats"))
-    good = labels.where(F.col(quoted(quality)) == 1).select(F.col(quoted(id)).alias("of")).distinct()
-    known = rows.where("not base_failed").join(good, F.col(quoted(id)) == good["of"], "left_semi")
-    threshold = known.agg(F.percentile("anomaly", F.lit(1 - LOST))).head()[0]
-    return rows, 1.0 if threshold is None else float(threshold)
+    marks = labels.select(F.col(quoted(id)).alias("of"), F.col(quoted(quality)).alias("mark"))
+    marks = marks.where("mark in (0, 1)").groupBy("of").agg(
+        F.max((F.col("mark") == 1).cast("int")).alias("good"), F.max((F.col("mark") == 0).cast("int")).alias("bad")
+    )
+    known = rows.where("not base_failed").join(marks, F.col(quoted(id)) == marks["of"])
+    bins = known.groupBy(F.ceil(F.col("anomaly") * BINS).alias("bin")).agg(
+        F.max("anomaly").alias("highest"), F.sum("good").alias("good"), F.sum("bad").alias("bad")
+    )
+    return rows, best_threshold([tuple(r)[1:] for r in bins.orderBy("bin").collect()])
 
 
 def judged(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
