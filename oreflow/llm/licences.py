@@ -1,12 +1,13 @@
 """Licence scans by a positional index of rare template words, with DataFrame functions only.
 
 The templates are short licence texts and phrases. How many documents hold each of their
-words gives the words' IDF. A template is looked up by its rarest words: where one of these
-stands in a file, its place in the template gives the place where the template would begin.
+words gives the words' IDF. A template is looked up by its rarest words and by the rarest
+word of its key phrase: where one of these stands in a file, its place in the template gives the place where the template would begin.
 For each such beginning the file's words are intersected with the template's by relative
 position. A template is found if the matched words hold the share
 ``LEAST_SHARE`` of its IDF and its key phrase stands there whole; a base phrase must stand
-there whole itself. A phrase that occurs brings its rarest word with it, so none is missed.
+there whole itself. A key phrase brings its rarest word with it, so no template that would be
+found is missed, whatever words the corpus makes rare.
 
 Everything about a file happens within its row; only the word counts are shuffled, and
 they have as many rows as the templates have words.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.common import blank_text, quoted
 
-#: By how many words a template of at least so many words is looked up; others by one.
+#: By how many words a template of at least so many words is looked up; others by one. Its key's rarest is added.
 RARE_WORDS = 3
 LONG_TEMPLATE = 8
 LEAST_SHARE = 0.6
@@ -87,9 +88,11 @@ def word_idf(docs: DataFrame, text: str, templates: tuple[Template, ...]) -> dic
 
 
 def rare_words(template: Template, idf: dict[str, float]) -> list[str]:
-    """The words a template is looked up by: its rarest, and only one if it is short."""
+    """The words a template is looked up by: its rarest (one if it is short), and its key's rarest."""
     count = RARE_WORDS if len(template.words) >= LONG_TEMPLATE else 1
-    return sorted(set(template.words), key=lambda w: (-idf[w], w))[:count]
+    ranked = sorted(set(template.words), key=lambda w: (-idf[w], w))
+    key = {template.words[at] for at in template.key_places}
+    return ranked[:count] + [w for w in ranked if w in key][:1]
 
 
 def _best(values: Column) -> Column:
@@ -109,7 +112,7 @@ def with_licences(docs: DataFrame, text: str = "text", licences: tuple[Template,
     idf = word_idf(docs, text, templates)
     postings: dict[str, list[tuple[int, int]]] = {}
     for number, t in enumerate(templates):
-        for word in rare_words(t, idf):
+        for word in dict.fromkeys(rare_words(t, idf)):
             postings.setdefault(word, []).extend(
                 (number, at) for at, w in enumerate(t.words) if w == word
             )
