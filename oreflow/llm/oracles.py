@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oreflow.llm.licences import BASE, LEAST_SHARE, LICENCES, LONG_TEMPLATE, RARE_WORDS
+from oreflow.llm.oracles_keyed import merkle, vector_codes
 from oreflow.llm.warc import ENTITIES, SPACES, STEPS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -171,4 +172,6 @@ ORACLES = {
     "op3_licences": _licences(),
     "op4_warc": _warc(),
     "op5_preferences": _PREFERENCES,
+    "op12_merkle_manifest": merkle(),
+    "op13_vector_codes": vector_codes(),
 }

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from oreflow.llm.decontamination import contaminated
 from oreflow.llm.languages import held_out, predicted, train_on
 from oreflow.llm.licences import with_licences
+from oreflow.llm.merkle import manifest
 from oreflow.llm.oracles import ORACLES
 from oreflow.llm.packing import packed
+from oreflow.llm.personal_data import BASE_KINDS, learned, listed, with_personal_data
 from oreflow.llm.preferences import neighbours_as_rejected, preference_rows
 from oreflow.llm.quality_forest import judged
 from oreflow.llm.repeats import without_repeats
 from oreflow.llm.simhash import simhash_components
 from oreflow.llm.tokens import counted, vocabulary
+from oreflow.llm.vector_codes import compressed
 from oreflow.llm.warc import derivatives, responses
 
 VOCABULARY = "word_bpe_49k.json"
@@ -106,6 +109,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[f"stats.{c}" for c in rules], "base_failed", "kept", "anomaly")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_personal_data(docs, learned(docs)).withColumn("base", F.filter("personal", lambda s: s["base"]))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("personal")).alias("spans")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof against the root, with some texts' line ends deleted before it is checked."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = manifest(docs, fields, presented={"text": text})
+    return found.withColumn("proof", F.sha2("proof", 256)).withColumnRenamed("proof", "proof_sha256")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    return compressed(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
@@ -117,6 +148,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_personal_data": op11_personal_data,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
