@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +87,16 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def slices_of(batch: pa.RecordBatch, text: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text each, or a single row of more."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(text)), 0).cast(pa.int64())).to_numpy()
+    begin, before = 0, 0
+    while begin < len(ends):
+        end = max(begin + 1, int(ends.searchsorted(before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin, before = end, int(ends[end - 1])
+
+
 def runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Regroup sorted batches, so that all rows of one value of ``column`` are in one batch."""
     held: list[pa.RecordBatch] = []

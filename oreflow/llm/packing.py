@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import arrow_schema, blank_text, quoted, saved
+from oreflow.llm.common import arrow_schema, blank_text, quoted, saved, slices_of
 from oreflow.llm.tokens import Words
 
 LENGTH = 2048
@@ -153,19 +153,22 @@ def _tokenised(docs: DataFrame, path: str, id: str, text: str, source: str) -> D
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words.of(path)
-        end = np.array([END], "<u4").tobytes()
         block = TaskContext.get().partitionId()
         sums: dict = {}
-        for batch in batches:
-            ids = [words.encode(t.as_py()) + end for t in batch.column(2)]
+        for batch in (part for whole in batches for part in slices_of(whole, 2)):
+            ids, counts = words.encode_all(batch.column(2))
+            ends = np.cumsum(counts)
+            ids = np.insert(ids, ends, END)
+            counts, ends = counts + 1, ends + np.arange(1, len(ends) + 1)
             before = []
-            for name, found in zip(batch.column(1).to_pylist(), ids, strict=True):
+            for name, count in zip(batch.column(1).to_pylist(), counts.tolist(), strict=True):
                 before.append(sums.get(name, 0))
-                sums[name] = before[-1] + len(found) // 4
-            counts = [len(x) // 4 for x in ids]
-            columns = [[block] * len(ids), before, counts, ids]
-            columns = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[2:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=arrow)
+                sums[name] = before[-1] + count
+            offsets = pa.py_buffer((4 * np.concatenate([[0], ends])).astype("<i4"))
+            found = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(ids.astype("<u4"))])
+            columns = [np.full(len(ends), block), before, counts]
+            columns = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[2:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, found], schema=arrow)
 
     return rows.mapInArrow(tokenise, schema)
 

@@ -2,7 +2,9 @@
 
 Such a tokenizer (a ``tokenizers`` file whose tokens never span white space, as its words
 end at it) reads a text as its white-space separated words, one after the other. So words
-are encoded once per process and kept while they are few.
+are encoded once per process and kept while they are few. What the ids of a word are is
+proven before it is kept: it is encoded by itself, or among words of letters that have one
+end-of-word token each.
 
 A huge text is counted in overlapping chunks that are encoded with offsets. Two chunks are
 spliced at a boundary that is proven stable: both encodings end a token before the same
@@ -16,23 +18,26 @@ import os
 import re
 import sys
 import types
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import blank_text
+from oreflow.llm.common import blank_text, slices_of
 
 #: Texts of more characters are counted in chunks of so many, which overlap by so many.
 CHUNK = 1 << 14
 OVERLAP = 1 << 8
 #: About how many words a process keeps, and the longest that is kept; others are encoded anew.
 KEPT_WORDS = 1_000_000
-KEPT_BYTES = 48
+KEPT_LETTERS = 48
 _STORE = "_words_by_tokenizer"
-_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s|$)")
+_TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
 
 
@@ -63,7 +68,7 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.ids: dict[bytes, bytes] = {}
+        self.ids: dict[str, bytes] = {}
         tokens = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(tokens.values()) + 1, bool)
         self.ends_word[[at for token, at in tokens.items() if token.endswith("</w>")]] = True
@@ -78,45 +83,94 @@ class Words:
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as unsigned 32-bit integers."""
-        data = text.encode()
-        if data.isascii() and b"<|" not in data:
-            data = data.lower()  # as the tokenizer does; not where it reads special tokens
-        # After a letter and before white space these are words of their own to the tokenizer.
-        words = _MARK.sub(rb" \1", data).split()
-        known = self.ids
+        return self.encode_all(pa.array([text]))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts, one after the other, and the number of each text's ids."""
+        sizes, places, starts, ids, counts = self._looked_up(texts)
+        shift = starts[places] - (np.cumsum(sizes[places]) - sizes[places])
+        at = np.repeat(shift, sizes[places])
+        return ids[at + np.arange(len(at))], counts
+
+    def count_all(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        return self._looked_up(texts)[-1]
+
+    def _looked_up(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """Of the different words in ``texts`` the sizes, and where each word's is; where their
+        ids start, and these; and the number of each text's ids."""
+        # As the tokenizer does; not where it reads special tokens.
+        plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+        words = pc.ascii_split_whitespace(pc.if_else(plain, pc.ascii_lower(texts), texts))
+        of_text = words.value_lengths().to_numpy()
+        found = words.flatten().dictionary_encode()
+        ids = self._ids_of(found.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        places = found.indices.to_numpy()
+        sums = np.concatenate([[0], np.cumsum(sizes[places])])
+        ends = np.cumsum(of_text)
+        counts = sums[ends] - sums[ends - of_text]
+        return sizes, places, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4"), counts
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of different words.
+
+        Punctuation after a word's last letter is a word of its own to the tokenizer, so words
+        that are not kept are made of two. What is new is encoded in one call.
+        """
+        known, parts = self.ids, {}
         found = list(map(known.get, words))
-        if None not in found:
-            return b"".join(found)
-        missing = list({word for word, ids in zip(words, found, strict=True) if ids is None})
-        new = self._encode_words(missing)
-        found = [new[word] if ids is None else ids for word, ids in zip(words, found, strict=True)]
+        for at, ids in enumerate(found):
+            if ids is None:
+                word = words[at]
+                stem = word.rstrip(_TAIL)
+                parts[at] = (stem, word[len(stem) :]) if stem != word and _ends_as_letter(stem, word) else (word,)
+        new = self._encode_words(list({part for pair in parts.values() for part in pair if part not in known}))
+        for at, pair in parts.items():
+            found[at] = b"".join([new[p] if p in new else known[p] for p in pair])
         if len(known) < KEPT_WORDS:
-            known.update((w, ids) for w, ids in new.items() if len(w) <= KEPT_BYTES)
-        return b"".join(found)
+            known.update((w, ids) for w, ids in new.items() if len(w) <= KEPT_LETTERS)
+            known.update((words[at], found[at]) for at in parts if len(words[at]) <= KEPT_LETTERS)
+        return found
 
-    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """The ids of words that are not kept.
 
-        A word of letters has one token with the end-of-word mark, so such words are encoded
-        as one text and told apart by these; the others are encoded one by one.
+        Words that are letters to the tokenizer too are encoded as one text and told apart by
+        the end-of-word tokens, if these are as many as the words: each has one at least, so
+        then each has one. Other words are encoded one by one.
         """
-        texts = [word.decode() for word in words]
-        letters = [text for text in texts if text.isalpha()]
-        others = [text for text in texts if not text.isalpha()]
-        rows = self.tokenizer.encode_batch_fast([" ".join(letters), *others], add_special_tokens=False)
-        ids = np.array(rows[0].ids, "<u4")
-        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        kinds = [_letters(word) for word in words]
+        letters = [word for word, plain in zip(words, kinds, strict=True) if plain]
+        others = [word for word, plain in zip(words, kinds, strict=True) if not plain]
+        ids, ends = self._joined(letters)
+        if len(ends) != len(letters):
+            letters, others, (ids, ends) = [], words, self._joined([])
+        rows = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
         data = ids.tobytes()
-        found = {
-            text.encode(): data[4 * begin : 4 * end]
-            for text, begin, end in zip(letters, [0, *ends], ends, strict=False)
-        }
-        found.update(
-            (text.encode(), np.array(row.ids, "<u4").tobytes())
-            for text, row in zip(others, rows[1:], strict=True)
-        )
+        cuts = zip(letters, [0, *ends[:-1]], ends, strict=True) if letters else ()
+        found = {word: data[4 * begin : 4 * end] for word, begin, end in cuts}
+        found.update((word, np.array(row.ids, "<u4").tobytes()) for word, row in zip(others, rows, strict=True))
         return found
 
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The ids of some words as one text, and after which of them words end."""
+        row = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0]
+        ids = np.array(row.ids, "<u4")
+        return ids, (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+
+
+def _letters(text: str) -> bool:
+    """Whether a word is still nothing but letters once it is composed and lower-cased."""
+    return text.isalpha() if text.isascii() else unicodedata.normalize("NFC", text).lower().isalpha()
+
+
+def _ends_as_letter(stem: str, word: str) -> bool:
+    """Whether what follows ``stem`` in ``word``, ASCII punctuation, begins a new word to the tokenizer."""
+    if "<|" in word:  # may begin a special token
+        return False
+    return stem[-1:].isalnum() if stem.isascii() else _letters(stem)
+
 
 def _encoded(tokenizer, text: str, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of a chunk, and where in the text each token begins and ends."""
@@ -164,6 +218,15 @@ def spliced_count(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERL
     return count + int((left[1] >= cut).sum())
 
 
+def _counts(words: Words, texts: pa.Array) -> np.ndarray:
+    """The number of tokens of each text; huge texts are counted in chunks."""
+    huge = pc.greater(pc.utf8_length(texts), CHUNK)
+    counts = words.count_all(pc.if_else(huge, "", texts))
+    for at in np.flatnonzero(huge.to_numpy(zero_copy_only=False)):
+        counts[at] = spliced_count(words.tokenizer, texts[at].as_py())
+    return counts
+
+
 def counted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_bytes`` (of the text in UTF-8) and ``n_tokens``; these names are replaced.
 
@@ -177,16 +240,10 @@ def counted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         words = Words.of(path)
-        for texts in batches:
-            yield pd.Series(
-                [
-                    len(words.encode(t)) // 4
-                    if len(t) <= CHUNK
-                    else spliced_count(words.tokenizer, t)
-                    for t in texts
-                ],
-                dtype="int64",
-            )
+        for series in batches:
+            rows = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
+            counts = [_counts(words, part.column(0)) for part in slices_of(rows, 0)]
+            yield pd.Series(np.concatenate([np.zeros(0, np.int64), *counts]))
 
     return docs.withColumns(
         {
