@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.llm.common import arrow_schema, blank_text, quoted, saved, slices_of
-from oreflow.llm.tokens import Words
+from oreflow.llm.tokens import SLICE, Words
 
 LENGTH = 2048
 END = 1
@@ -155,7 +155,7 @@ def _tokenised(docs: DataFrame, path: str, id: str, text: str, source: str) -> D
         words = Words.of(path)
         block = TaskContext.get().partitionId()
         sums: dict = {}
-        for batch in (part for whole in batches for part in slices_of(whole, 2)):
+        for batch in (part for whole in batches for part in slices_of(whole, 2, SLICE)):
             ids, counts = words.encode_all(batch.column(2))
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, END)
@@ -238,20 +238,20 @@ def packed(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, parts, found = [], [], []
-            queues, places, counts, ids = (batch.column(c).to_pylist() for c in range(1, 5))
-            for at, (queue, place, count) in enumerate(zip(queues, places, counts, strict=True)):
-                pieces = schedule.pieces(queue, place, count)
-                found.append(pieces)
-                data, ends = ids[at], (pieces[0] + pieces[1]).tolist()
-                parts += [data[4 * a : 4 * b] for a, b in zip(pieces[0].tolist(), ends, strict=True)]
-                of.append(len(ends))
-            if not of:
+            if not batch.num_rows:
                 continue
+            queues, places, counts = (batch.column(c).to_pylist() for c in range(1, 4))
+            found = [schedule.pieces(*row) for row in zip(queues, places, counts, strict=True)]
+            of = [len(pieces[0]) for pieces in found]
             start, length, sequence, offset = (np.concatenate(c) for c in zip(*found, strict=True))
             owner = np.repeat(np.arange(len(of)), of)
+            # A document's pieces follow one another, so all ids stay where they are.
+            ids = batch.column(4)
+            begins = np.frombuffer(ids.buffers()[1], "<i4")[ids.offset]
+            offsets = pa.py_buffer((begins + 4 * np.concatenate([[0], np.cumsum(length)])).astype("<i4"))
+            parts = pa.BinaryArray.from_buffers(pa.binary(), len(owner), [None, offsets, ids.buffers()[2]])
             columns = [start, length, parts, np.array(counts)[owner], sequence, offset]
-            columns = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
+            columns = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), *columns], schema=arrow)
 
     return rows.mapInArrow(cut, schema)
