@@ -157,21 +157,28 @@ def held_out(id: str) -> F.Column:
 
 
 def _sample(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, part): windows of a bounded number of texts per language, the same in every run."""
+    """(lang, hash, part): windows of a bounded number of different texts per language.
+
+    They are the texts of least hash, so the same in every run; copies of a text count once.
+    """
     rows = docs.select(F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    languages = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     rows = rows.select("lang", F.xxhash64("text").alias("hash"), "text")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    languages = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("hash").alias("texts"))
+    # Of a language's different texts about so many pass, the same share of all hashes.
+    share = F.least(F.lit(1.0), F.lit(8.0 * TEXTS_PER_LANGUAGE) / F.col("texts"))
+    languages = languages.orderBy(F.desc("n"), "lang").limit(LANGUAGES).select(F.col("lang").alias("of"), share.alias("share"))
     chars = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     parts = [
         F.substring("text", F.pmod(F.xxhash64("text", F.lit(i)), chars).cast("int") + 1, F.lit(WINDOW))
         for i in range(WINDOWS_PER_TEXT)
     ]
-    short = rows.select("lang", "hash", F.array(*parts).alias("parts")).withColumn("place", place)
-    short = short.where(F.col("place") <= TEXTS_PER_LANGUAGE).select("lang", "hash", "parts")
-    known = languages.select("lang")
-    return short.join(known, "lang", "left_semi").select("lang", "hash", F.explode("parts").alias("part"))
+    least = (F.col("hash") / float(1 << 64)) + 0.5 <= F.col("share")
+    few = rows.join(F.broadcast(languages), (F.col("lang") == F.col("of")) & least)
+    few = few.groupBy("lang", "hash").agg(F.any_value(F.array(*parts)).alias("parts"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash")).alias("place")
+    short = few.select("lang", "hash", "parts", place).where(F.col("place") <= TEXTS_PER_LANGUAGE)
+    return short.select("lang", "hash", F.explode("parts").alias("part"))
 
 
 def train_on(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
