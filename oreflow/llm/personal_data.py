@@ -286,11 +286,15 @@ def learned(docs: DataFrame, text: str = "text") -> Field | None:
     """
     texts = docs.select(blank_text(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     share = min(1.0, 8 * SAMPLE_TEXTS / max(1, texts.count()))
-    start = F.substring("text", 1, SAMPLE_CHARS).alias("start")
-    rows = texts.select(F.xxhash64("text").alias("key"), start)
+    rows = texts.select(F.xxhash64("text").alias("key"), "text")
     if share < 1:
         rows = rows.where(F.col("key") < F.lit(int(share * (1 << 64)) - (1 << 63)))
-    rows = rows.dropDuplicates(["key"]).orderBy("key").limit(SAMPLE_TEXTS).collect()
+    keys = rows.select("key").distinct().orderBy("key").limit(SAMPLE_TEXTS)
+    last = keys.agg(F.max("key")).head()[0]
+    if last is None:
+        return None
+    start = F.any_value(F.substring("text", 1, SAMPLE_CHARS)).alias("start")
+    rows = rows.where(F.col("key") <= last).groupBy("key").agg(start).orderBy("key").collect()
     sample = [(r["start"], nodes(r["start"])) for r in rows]
     labels = [kind for t, spans in sample for kind in weak_labels(t, spans)]
     return fit(Graph.of(sample), np.array(labels)) if labels else None
