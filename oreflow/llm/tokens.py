@@ -36,6 +36,8 @@ OVERLAP = 1 << 8
 #: About how many words a process keeps, and the longest that is kept; others are encoded anew.
 KEPT_WORDS = 1_000_000
 KEPT_LETTERS = 48
+#: Bytes of text whose words are told apart at once.
+SLICE = 1 << 23
 _STORE = "_words_by_tokenizer"
 _TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
@@ -56,8 +58,31 @@ def drops_white_space(path: str) -> bool:
     return first.get("behavior") == "Removed" and "\\s" in str(first.get("pattern"))
 
 
+class _Kept:
+    """Words and their ids in a few arrays, a tenth of what a dictionary of them takes."""
+
+    def __init__(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray):
+        self.words, self.sizes, self.ids = words, sizes, ids
+        self.starts = np.cumsum(sizes) - sizes
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The place of each word, -1 if it is not here."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+
+    def ids_at(self, at: int) -> bytes:
+        return self.ids[self.starts[at] : self.starts[at] + self.sizes[at]].tobytes()
+
+    def plus(self, words: list[str], ids: list[bytes]) -> "_Kept":
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        return _Kept(
+            pa.concat_arrays([self.words, pa.array(words, pa.string())]),
+            np.concatenate([self.sizes, sizes]),
+            np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")]),
+        )
+
+
 class Words:
-    """A tokenizer with the ids of the words it has met, as little-endian bytes."""
+    """A tokenizer with the ids of the words it has met."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,7 +93,7 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.ids: dict[str, bytes] = {}
+        self.kept = _Kept(pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, "<u4"))
         tokens = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(tokens.values()) + 1, bool)
         self.ends_word[[at for token, at in tokens.items() if token.endswith("</w>")]] = True
@@ -87,51 +112,59 @@ class Words:
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some texts, one after the other, and the number of each text's ids."""
-        sizes, places, starts, ids, counts = self._looked_up(texts)
-        shift = starts[places] - (np.cumsum(sizes[places]) - sizes[places])
-        at = np.repeat(shift, sizes[places])
-        return ids[at + np.arange(len(at))], counts
+        words, places, counts = self._looked_up(texts)
+        sizes = words.sizes[places]
+        at = np.repeat(words.starts[places] - (np.cumsum(sizes) - sizes), sizes)
+        return words.ids[at + np.arange(len(at))], counts
 
     def count_all(self, texts: pa.Array) -> np.ndarray:
         """The number of ids of each text."""
         return self._looked_up(texts)[-1]
 
-    def _looked_up(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
-        """Of the different words in ``texts`` the sizes, and where each word's is; where their
-        ids start, and these; and the number of each text's ids."""
+    def _looked_up(self, texts: pa.Array) -> tuple[_Kept, np.ndarray, np.ndarray]:
+        """All different words of ``texts``, the places of the texts' words among these, and
+        the number of each text's ids."""
         # As the tokenizer does; not where it reads special tokens.
         plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
         words = pc.ascii_split_whitespace(pc.if_else(plain, pc.ascii_lower(texts), texts))
         of_text = words.value_lengths().to_numpy()
         found = words.flatten().dictionary_encode()
-        ids = self._ids_of(found.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        places = found.indices.to_numpy()
-        sums = np.concatenate([[0], np.cumsum(sizes[places])])
+        known, places = self._known(found.dictionary)
+        places = places[found.indices.to_numpy()]
+        sums = np.concatenate([[0], np.cumsum(known.sizes[places])])
         ends = np.cumsum(of_text)
-        counts = sums[ends] - sums[ends - of_text]
-        return sizes, places, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4"), counts
+        return known, places, sums[ends] - sums[ends - of_text]
+
+    def _known(self, words: pa.Array) -> tuple[_Kept, np.ndarray]:
+        """What is kept and the words that are not, and the places of all of ``words`` in it."""
+        known, places = self.kept, self.kept.find(words)
+        missing = places < 0
+        if missing.any():
+            new = words.filter(pa.array(missing)).to_pylist()
+            ids = self._ids_of(new)
+            places = np.where(missing, len(known.words) + np.cumsum(missing) - 1, places)
+            if len(known.words) < KEPT_WORDS:
+                short = [at for at, word in enumerate(new) if len(word) <= KEPT_LETTERS]
+                self.kept = known.plus([new[at] for at in short], [ids[at] for at in short])
+            known = known.plus(new, ids)
+        return known, places
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
-        """The ids of different words.
+        """The ids of different words that are not kept.
 
-        Punctuation after a word's last letter is a word of its own to the tokenizer, so words
-        that are not kept are made of two. What is new is encoded in one call.
+        Punctuation after a word's last letter is a word of its own to the tokenizer, so such
+        words are made of two. What is new is encoded in one call.
         """
-        known, parts = self.ids, {}
-        found = list(map(known.get, words))
-        for at, ids in enumerate(found):
-            if ids is None:
-                word = words[at]
-                stem = word.rstrip(_TAIL)
-                parts[at] = (stem, word[len(stem) :]) if stem != word and _ends_as_letter(stem, word) else (word,)
-        new = self._encode_words(list({part for pair in parts.values() for part in pair if part not in known}))
-        for at, pair in parts.items():
-            found[at] = b"".join([new[p] if p in new else known[p] for p in pair])
-        if len(known) < KEPT_WORDS:
-            known.update((w, ids) for w, ids in new.items() if len(w) <= KEPT_LETTERS)
-            known.update((words[at], found[at]) for at in parts if len(words[at]) <= KEPT_LETTERS)
-        return found
+        parts = []
+        for word in words:
+            stem = word.rstrip(_TAIL)
+            two = stem != word and _ends_as_letter(stem, word)
+            parts.append((stem, word[len(stem) :]) if two else (word,))
+        different = list({part for pair in parts for part in pair})
+        places = self.kept.find(pa.array(different, pa.string()))
+        ids = self._encode_words([w for w, at in zip(different, places, strict=True) if at < 0])
+        ids.update((w, self.kept.ids_at(at)) for w, at in zip(different, places, strict=True) if at >= 0)
+        return [b"".join([ids[part] for part in pair]) for pair in parts]
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """The ids of words that are not kept.
@@ -242,7 +275,7 @@ def counted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         words = Words.of(path)
         for series in batches:
             rows = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
-            counts = [_counts(words, part.column(0)) for part in slices_of(rows, 0)]
+            counts = [_counts(words, part.column(0)) for part in slices_of(rows, 0, SLICE)]
             yield pd.Series(np.concatenate([np.zeros(0, np.int64), *counts]))
 
     return docs.withColumns(

@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from oreflow.llm import packing, preferences, queries, tokens, warc
@@ -44,7 +45,8 @@ def test_packing_is_whole_and_gapless(spark, monkeypatch, queues, weights):
     rows = [(i, t, f"s{i % 3}" if i % 4 else None) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     pieces = queries.pieces(packing.packed(docs, path, weights=weights)).collect()
-    ids = {i: np.frombuffer(tokens.Words.of(path).encode(t or ""), "<u4").tolist() + [1] for i, t, _ in rows}
+    library = Tokenizer.from_file(path)
+    ids = {i: library.encode(t or "", add_special_tokens=False).ids + [1] for i, t, _ in rows}
     documents, sequences = {}, {}
     for p in pieces:
         part = ids[p["doc_id"]][p["start"] : p["start"] + p["length"]]
