@@ -45,11 +45,12 @@ def lenient_cast(column: Column, source: T.DataType, target: str) -> Column:
     if not isinstance(source, T.StringType):
         return column.try_cast(target)
     if kind in _INTEGRAL:
-        whole = F.regexp_extract(column, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
+        # Nothing before the point is zero or no number; only then a second pattern is tried.
+        whole = F.regexp_extract(column, r"^\s*([+-]?\d*)(?:\.\d*)?\s*$", 1)
         fraction = column.rlike(r"^\s*[+-]?\.\d*\s*$")
-        return F.when(fraction, F.lit(0).cast(target)).otherwise(
-            F.nullif(whole, F.lit("")).try_cast(target)
-        )
+        return F.when(
+            whole.isin("", "+", "-"), F.when(fraction, F.lit(0).cast(target))
+        ).otherwise(whole.try_cast(target))
     if kind == "boolean":
         text = F.lower(F.trim(column))
         return F.when(text.isin(_TRUE_TEXTS), True).when(text.isin(_FALSE_TEXTS), False)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.sources.merging import Staged
+from oreflow.sources.merging import Layout, Staged
 from oreflow.sources.paths import literal_path, sql_text
 
 
@@ -79,7 +79,7 @@ class DeltaTable:
         place = f"{self.path.rstrip('/')}__staging/{uuid.uuid4().hex}"
         (observe(df) if observe else df).write.parquet(place)
         written = self.spark.read.schema(df.schema).parquet(literal_path(place))
-        return Staged(written, [], df.schema, list(partition_by or []))
+        return Staged(written, [], df.schema, Layout(list(partition_by or [])))
 
     def upsert(
         self,
@@ -94,7 +94,7 @@ class DeltaTable:
     ) -> None:
         """Delta itself looks for repeated source keys, so ``unique_source`` changes nothing."""
         if isinstance(df, Staged):
-            df, partition_by = df.df, df.partition_by
+            df, partition_by = df.df, df.layout.partition_by
         if not self.exists():
             self.write(df, "error", partition_by)
             return

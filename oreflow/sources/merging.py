@@ -6,7 +6,7 @@ joins: inside one they would all meet in a single task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
@@ -20,6 +20,38 @@ from oreflow.functions.columns import named
 _BOUNDED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType)
 
 
+#: The folder level, below the partitions, that tells the bucket of a row's keys.
+BUCKET = "_bucket"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table's rows lie in folders: by values of some columns, then by a hash of others."""
+
+    partition_by: list[str] = field(default_factory=list)
+    bucket_by: list[str] = field(default_factory=list)
+    buckets: int = 0
+
+    @property
+    def levels(self) -> list[str]:
+        return [*self.partition_by, *([BUCKET] if self.buckets else [])]
+
+    def bucket(self) -> Column:
+        """The bucket of a row. Keys of other types than the table's have other hashes."""
+        return F.pmod(F.xxhash64(*map(named, self.bucket_by)), F.lit(self.buckets)).cast("int")
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, self.bucket()) if self.buckets else rows
+
+    def reachable(self, folders: list[str], source: DataFrame, keys: list[str]) -> list[str]:
+        """The folders that may hold a key of the source: those of its keys' buckets, if the
+        merge is on the bucketed columns at least. At most ``buckets`` numbers are collected."""
+        if not self.buckets or not set(self.bucket_by) <= set(keys):
+            return folders
+        hit = {f"{BUCKET}={row[0]}" for row in source.select(self.bucket()).distinct().collect()}
+        return [f for f in folders if f.rsplit("/", 1)[-1] in hit]
+
+
 @dataclass(frozen=True)
 class Staged:
     """Rows that are written but belong to no version of a table yet."""
@@ -27,7 +59,7 @@ class Staged:
     df: DataFrame
     folders: list[str]
     schema: T.StructType
-    partition_by: list[str]
+    layout: Layout
 
 
 def all_set(keys: list[str]) -> Column:

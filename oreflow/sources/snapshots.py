@@ -7,8 +7,8 @@ new version. Folders no marker names are ignored, so a failed write leaves the l
 version as it was, and a version is never changed afterwards.
 
 Versions share folders. An append writes its own rows only; an upsert rewrites only
-folders that hold a matching key, found by reading nothing but the keys; a rollback
-writes a marker. The marker lists folders, not files, and lists are all the driver holds.
+folders that hold a matching key, found by reading nothing but the keys, and in a table
+with buckets only those of the source's own buckets; a rollback writes a marker. The marker lists folders, not files, and lists are all the driver holds.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import json
 import uuid
 from bisect import bisect_right
 from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
 
@@ -29,6 +29,8 @@ from oreflow.functions.columns import named
 from oreflow.functions.layout import rebalance
 from oreflow.sources.delta import DeltaTable, has_delta
 from oreflow.sources.merging import (
+    BUCKET,
+    Layout,
     Staged,
     having,
     keyed,
@@ -64,6 +66,14 @@ class Snapshot:
     schema_json: str
     partition_by: list[str]
     folders: list[str]
+    bucket_by: list[str] = field(default_factory=list)
+    buckets: int = 0
+    #: The last batch of each stream that has been merged in.
+    applied: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def layout(self) -> Layout:
+        return Layout(self.partition_by, self.bucket_by, self.buckets)
 
     @property
     def schema(self) -> T.StructType:
@@ -74,6 +84,12 @@ class Snapshot:
         return datetime.fromisoformat(self.committed_at)
 
 
+def _layout(partition_by: list[str] | None, bucket_by: list[str] | None, buckets: int) -> Layout:
+    if bool(bucket_by) != bool(buckets):
+        raise ValueError("bucket_by and buckets go together")
+    return Layout(list(partition_by or []), list(bucket_by or []), buckets)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
@@ -136,10 +152,12 @@ class SnapshotTable:
         self,
         operation: str,
         schema: T.StructType,
-        partition_by: list[str],
+        layout: Layout | list[str],
         folders: list[str],
         previous: Snapshot | None,
+        applied: dict[str, int] | None = None,
     ) -> Snapshot:
+        layout = layout if isinstance(layout, Layout) else Layout(layout)
         now = datetime.now(timezone.utc)
         if previous:
             now = max(now, previous.committed + timedelta(microseconds=1))
@@ -148,8 +166,9 @@ class SnapshotTable:
             committed_at=now.isoformat(),
             operation=operation,
             schema_json=schema.json(),
-            partition_by=partition_by,
             folders=sorted(folders),
+            applied={**(previous.applied if previous else {}), **(applied or {})},
+            **asdict(layout),
         )
         create_text(self.spark, self._marker(made.version), json.dumps(asdict(made)))
         return made
@@ -179,20 +198,20 @@ class SnapshotTable:
     def _put(
         self,
         df: DataFrame,
-        partition_by: list[str],
+        layout: Layout,
         observe: Callable[[DataFrame], DataFrame] | None = None,
     ) -> list[str]:
-        """Write rows, rebalanced by partition, to a new folder; the folders, one per
-        partition value. Without rows there is none."""
+        """Write rows, rebalanced by partition and bucket, to a new folder; the folders, one
+        per partition value and bucket. Without rows there is none."""
         folder = f"{_BATCH}=b{uuid.uuid4().hex[:16]}"
-        rows = rebalance(df, partition_by)
+        rows = rebalance(layout.placed(df), layout.levels)
         writer = (observe(rows) if observe else rows).write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
+        if layout.levels:
+            writer = writer.partitionBy(*layout.levels)
         writer.parquet(f"{self.path}/{folder}")
-        if not partition_by:
+        if not layout.levels:
             return [] if self._scan([folder], df.schema).isEmpty() else [folder]
-        found = partition_folders(self.spark, f"{self.path}/{folder}", len(partition_by))
+        found = partition_folders(self.spark, f"{self.path}/{folder}", len(layout.levels))
         return [f"{folder}/{name}" for name in found]
 
     def _conform(
@@ -227,18 +246,21 @@ class SnapshotTable:
         observe: Callable[[DataFrame], DataFrame] | None = None,
         require_all: bool = True,
         ignore_extra: bool = True,
+        bucket_by: list[str] | None = None,
+        buckets: int = 0,
     ) -> Staged:
         """Write rows without publishing them, to be checked and then passed to
         ``write`` or ``upsert``. ``observe`` may attach an observation to the rows; it
-        sits right before the write, after any shuffle."""
+        sits right before the write, after any shuffle. The layout holds for a new table;
+        an existing one keeps its own."""
         current = self._latest()
-        parts = current.partition_by if current else list(partition_by or [])
+        layout = current.layout if current else _layout(partition_by, bucket_by, buckets)
         rows = self._conform(df, current, merge_schema, require_all, ignore_extra)
         schema = _nullable(rows.schema)
-        folders = self._put(rows, parts, observe)
+        folders = self._put(rows, layout, observe)
         tops = sorted({folder.split("/")[0] for folder in folders})
         written = self._scan(tops, schema).select(*map(named, schema.names))
-        return Staged(written, folders, schema, parts)
+        return Staged(written, folders, schema, layout)
 
     def write(
         self,
@@ -247,6 +269,8 @@ class SnapshotTable:
         partition_by: list[str] | None = None,
         overwrite_schema: bool = False,
         merge_schema: bool = False,
+        bucket_by: list[str] | None = None,
+        buckets: int = 0,
     ) -> Snapshot | None:
         """Modes append, overwrite, error and ignore (the last two if the table exists).
 
@@ -262,23 +286,29 @@ class SnapshotTable:
         if mode not in ("append", "overwrite", "error", "errorifexists", "ignore"):
             raise ValueError(f"unknown mode {mode!r}")
         if current and mode == "overwrite" and overwrite_schema:
-            parts = list(partition_by or [])
-            folders, schema = self._put(df, parts), _nullable(df.schema)
-            return self._commit("overwrite", schema, parts, folders, current)
+            layout = _layout(partition_by, bucket_by, buckets)
+            folders, schema = self._put(df, layout), _nullable(df.schema)
+            return self._commit("overwrite", schema, layout, folders, current)
         staged = df
         if not isinstance(df, Staged):
             staged = self.stage(
-                df, partition_by, merge_schema, require_all=False, ignore_extra=False
+                df,
+                partition_by,
+                merge_schema,
+                require_all=False,
+                ignore_extra=False,
+                bucket_by=bucket_by,
+                buckets=buckets,
             )
         kept = current.folders if current and mode == "append" else []
         folders = [*kept, *staged.folders]
-        return self._commit(mode, staged.schema, staged.partition_by, folders, current)
+        return self._commit(mode, staged.schema, staged.layout, folders, current)
 
     def rollback(self, version: int) -> Snapshot:
         """Make an earlier version the latest again. Copies no data."""
         old = self.snapshot(version)
         return self._commit(
-            f"rollback to {version}", old.schema, old.partition_by, old.folders, self._latest()
+            f"rollback to {version}", old.schema, old.layout, old.folders, self._latest()
         )
 
     # -- upsert --------------------------------------------------------------------
@@ -293,6 +323,8 @@ class SnapshotTable:
         merge_schema: bool = False,
         unique_source: bool = False,
         partition_by: list[str] | None = None,
+        buckets: int = 0,
+        batch: tuple[str, int] | None = None,
     ) -> Snapshot:
         """Insert new keys and update existing ones; a missing table is created.
 
@@ -300,23 +332,36 @@ class SnapshotTable:
         ``source.x`` and ``target.x``, removes the matched rows it holds for. NULL keys
         never match unless ``null_safe``. A source with several rows for a key is an
         error; ``unique_source`` skips that check for a source known to have none.
+
+        A new table may get ``buckets``: its rows lie in so many folders by a hash of the
+        merge keys, and later merges on them read and rewrite only their keys' buckets.
+        ``batch``, a stream and a batch number, makes a merge happen once: a batch that is
+        not after the stream's last one changes nothing.
         """
         current = self._latest()
+        applied = dict([batch]) if batch else None
+        if batch and current and current.applied.get(batch[0], -1) >= batch[1]:
+            return current
         partial = current is not None and bool(update_columns or delete_condition)
         if isinstance(df, Staged):
             staged = df
         elif partial:
             staged = self._stage_aside(df, current, merge_keys)
         else:
-            staged = self.stage(df, partition_by, merge_schema)
+            bucket_by = merge_keys if buckets else None
+            staged = self.stage(df, partition_by, merge_schema, bucket_by=bucket_by, buckets=buckets)
+
+        def commit(schema: T.StructType, layout: Layout, folders: list[str]) -> Snapshot:
+            return self._commit("upsert", schema, layout, folders, current, applied)
+
         if current is None and unique_source:
-            return self._commit("upsert", staged.schema, staged.partition_by, staged.folders, None)
+            return commit(staged.schema, staged.layout, staged.folders)
         profile = profile_keys(staged.df, merge_keys, null_safe, count_rows=not unique_source)
         if profile.most_rows > 1:
             example = repeated_key(staged.df, merge_keys, null_safe)
             raise MergeConflictError(f"several source rows for {example}")
         if current is None:
-            return self._commit("upsert", staged.schema, staged.partition_by, staged.folders, None)
+            return commit(staged.schema, staged.layout, staged.folders)
 
         source = keyed(staged.df, merge_keys, null_safe)
         touched = self._touched(
@@ -337,13 +382,13 @@ class SnapshotTable:
                 rows = rows.unionByName(
                     updated(old, source, merge_keys, null_safe, changed, delete_condition)
                 )
-            folders += self._put(rows, current.partition_by)
+            folders += self._put(rows, current.layout)
         else:
             schema, folders = staged.schema, list(staged.folders)
             if touched:
                 rows = lacking(old, source.select(*map(named, merge_keys)), merge_keys, null_safe)
-                folders += self._put(rows, current.partition_by)
-        return self._commit("upsert", schema, current.partition_by, [*kept, *folders], current)
+                folders += self._put(rows, current.layout)
+        return commit(schema, current.layout, [*kept, *folders])
 
     def _stage_aside(self, df: DataFrame, current: Snapshot, keys: list[str]) -> Staged:
         """Write a source, with all its columns, that is only to be merged from. Its keys
@@ -356,7 +401,7 @@ class SnapshotTable:
         df = df.withColumns({k: named(k).cast(kinds[k]) for k in keys})
         df.write.parquet(place)
         staged = self.spark.read.schema(df.schema).parquet(literal_path(place))
-        return Staged(staged, [], df.schema, [])
+        return Staged(staged, [], df.schema, Layout())
 
     def _touched(
         self,
@@ -366,17 +411,19 @@ class SnapshotTable:
         null_safe: bool,
         bounds: Column,
     ) -> list[str]:
-        """Folders that hold a key of the source. Reads the key columns only."""
-        if not current.folders:
+        """Folders that hold a key of the source. Reads the key columns only, and of a table
+        with buckets only the source's."""
+        reachable = current.layout.reachable(current.folders, source, keys)
+        if not reachable:
             return []
-        target = self._scan(current.folders, current.schema).select(
+        target = self._scan(reachable, current.schema).select(
             *map(named, keys), F.col("_metadata.file_path").alias("__file")
         )
         wanted = source.select(*map(named, keys))
         hits = having(target.filter(bounds), wanted, keys, null_safe)
         folder = F.regexp_extract("__file", "^(.*)/[^/]*$", 1)
         hit_folders = hits.select("__file").distinct().select(folder).distinct()
-        depth = 1 + len(current.partition_by)
+        depth = 1 + len(current.layout.levels)
         found = {"/".join(unquote(row[0]).split("/")[-depth:]) for row in hit_folders.collect()}
         if unknown := found - set(current.folders):
             raise RuntimeError(f"matches in folders the version does not name: {sorted(unknown)}")
@@ -388,9 +435,9 @@ class SnapshotTable:
         """Keys whose rows differ between two versions, as added, removed or changed.
 
         Folders both versions share hold the same rows; of them only the keys are read, to
-        tell a key that was there before and still is from one that came or went. The rest
-        is compared by counting equal rows on each side, without a join, so repeated and
-        NULL keys do not multiply.
+        tell a key that was there before and still is from one that came or went. All rows
+        are dealt by key once; equal rows of a key are then counted on each side and folded
+        into the key's, so repeated and NULL keys do not multiply.
         """
         old, new = self.snapshot(from_version), self.snapshot(to_version)
         shared = sorted(set(old.folders) & set(new.folders))
@@ -398,9 +445,13 @@ class SnapshotTable:
         for snapshot, before in ((old, 1), (new, 0)):
             own = [f for f in snapshot.folders if f not in shared]
             rows = self._scan(own, snapshot.schema).select(*map(named, snapshot.schema.names))
-            counts = {"__before": F.lit(before), "__after": F.lit(1 - before)}
+            counts = {"__before": F.lit(before), "__after": F.lit(1 - before), "__own": F.lit(True)}
             sides.append(rows.withColumns(counts))
         rows = sides[0].unionByName(sides[1], allowMissingColumns=True)
+        if shared:
+            kept = self._scan(shared, new.schema).select(*map(named, keys))
+            once = {"__before": F.lit(1), "__after": F.lit(1), "__own": F.lit(False)}
+            rows = rows.unionByName(kept.withColumns(once), allowMissingColumns=True)
         values = [c for c in rows.columns if c not in ("__before", "__after")]
         before, after = F.sum("__before").alias("__before"), F.sum("__after").alias("__after")
         change = (
@@ -409,14 +460,11 @@ class SnapshotTable:
             .otherwise("changed")
         )
         unequal = F.count_if(F.col("__before") != F.col("__after")).alias("__unequal")
-        counted = rows.groupBy(*map(named, values)).agg(before, after)
-        counted = counted.select(*map(named, keys), "__before", "__after")
-        if shared:
-            kept = self._scan(shared, new.schema).select(*map(named, keys))
-            once = {"__before": F.lit(1), "__after": F.lit(1)}
-            counted = counted.unionByName(kept.withColumns(once))
+        dealt = rows.repartition(*map(named, keys))
         return (
-            counted.groupBy(*map(named, keys))
+            dealt.groupBy(*map(named, values))
+            .agg(before, after)
+            .groupBy(*map(named, keys))
             .agg(unequal, before, after)
             .filter("__unequal > 0")
             .select(*map(named, keys), change.alias("change"))
@@ -429,10 +477,11 @@ class SnapshotTable:
         query by name may see a mix of versions, whereas reads by path never do.
         """
         current = self.snapshot()
-        parts = [_BATCH, *current.partition_by]
+        parts = [_BATCH, *current.layout.levels]
         columns = [f for f in current.schema if f.name not in parts]
-        keys = [T.StructField(_BATCH, T.StringType())]
-        keys += [f for f in current.schema if f.name in parts]
+        own = {_BATCH: T.StringType(), BUCKET: T.IntegerType()}
+        kinds = {f.name: f.dataType for f in current.schema} | own
+        keys = [T.StructField(name, kinds[name]) for name in parts]
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*columns, *keys])
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "

@@ -4,7 +4,8 @@ Each micro-batch goes into its own folder, ``stream_id=<query>/batch_id=<n>``, a
 replaces it. Spark gives a batch that is replayed after a failure the same number, so it
 overwrites itself and no message is stored twice. The stream id is the query's, which
 lives in the checkpoint: a query begun anew with another checkpoint counts its batches
-from 0 again, and must not overwrite the old ones.
+from 0 again, and must not overwrite the old ones. With ``day_of`` a level for the day of the
+message lies above these two, so a read of some days opens only their folders.
 """
 
 from __future__ import annotations
@@ -19,12 +20,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from oreflow.operators.cleaning import AddAuditColumns, Step, TrimStrings, compose
 from oreflow.sources.paths import zone_path
+from oreflow.sources.readers import read_csv
 from oreflow.sources.schemas import RAW_ORDERS_SCHEMA
+from oreflow.sources.snapshots import SnapshotTable
 
 # How much one trigger reads at most, and how often it fires.
 MAX_OFFSETS_PER_TRIGGER = 100_000
 DEFAULT_TRIGGER = "30 seconds"
 
+#: The folder level of a message's day.
+DAY = "ingest_date"
+
 MESSAGE_SCHEMA = "value binary, offset long, partition int, timestamp timestamp"
 
 
@@ -71,6 +77,44 @@ def parse_messages(messages: DataFrame, schema: T.StructType = RAW_ORDERS_SCHEMA
     ).select("offset", "partition", "kafka_ts", "data.*", F.col("kafka_ts").alias("_ingestion_ts"))
 
 
+#: The column of a rejected message's or line's own text.
+REJECTED = "rejected_text"
+_CORRUPT = "_corrupt_record"
+
+
+def parse_or_reject(messages: DataFrame, schema: T.StructType = RAW_ORDERS_SCHEMA) -> DataFrame:
+    """``parse_messages`` with ``rejected_text``: the payload, if it is not an object of the schema.
+
+    A missing payload is rejected as the empty text. Each payload is parsed once.
+    """
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    text = F.col("value").cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = messages.select(
+        "offset",
+        "partition",
+        F.col("timestamp").alias("kafka_ts"),
+        text.alias("text"),
+        F.from_json(text, full, options).alias("data"),
+    )
+    bad = F.when(F.col("data").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.col(f"data.{_CORRUPT}"))
+    fields = [F.col("data").getField(f.name).alias(f.name) for f in schema]
+    stamp = F.col("kafka_ts").alias("_ingestion_ts")
+    return parsed.select("offset", "partition", "kafka_ts", *fields, stamp, bad.alias(REJECTED))
+
+
+def read_csv_or_reject(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
+    """``read_csv`` with ``rejected_text``: the line, if a field of it does not fit the schema."""
+    full = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    return read_csv(spark, path, full, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, **options)
+
+
+def write_split(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Rows with ``rejected_text`` to ``<path>/rejected=true``, others to ``rejected=false``, in one job."""
+    split = rows.withColumn("rejected", F.col(REJECTED).isNotNull())
+    split.write.mode(mode).partitionBy("rejected").parquet(path)
+
+
 def trigger_options(trigger: str) -> dict[str, object]:
     """``availableNow`` or ``once`` drain what is there and stop; else an interval."""
     if trigger.lower() in ("once", "availablenow"):
@@ -78,12 +122,40 @@ def trigger_options(trigger: str) -> dict[str, object]:
     return {"processingTime": trigger}
 
 
-def batch_writer(target: str, transform: Step) -> Callable[[DataFrame, int], None]:
+def stream_of(batch: DataFrame) -> str:
+    """The id of the streaming query that hands over ``batch``."""
+    return str(batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+
+
+def batch_writer(
+    target: str, transform: Step, day_of: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Write each batch to its own folder, or with ``day_of``, a timestamp of the message, to
+    one folder in each day's."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stream, rows = stream_of(batch), batch.transform(transform)
+        if day_of is None:
+            folder = f"{target}/stream_id={stream}/batch_id={batch_id}"
+            rows.write.mode("overwrite").parquet(folder)
+            return
+        levels = {DAY: F.to_date(day_of), "stream_id": F.lit(stream), "batch_id": F.lit(batch_id)}
+        out = rows.withColumns(levels).write.mode("overwrite").partitionBy(*levels)
+        out.option("partitionOverwriteMode", "dynamic").parquet(target)
+
+    return write
+
+
+def upsert_writer(
+    table: SnapshotTable, keys: list[str], transform: Step, **options: object
+) -> Callable[[DataFrame, int], None]:
+    """Merge each batch into a versioned table. The table keeps the number of a stream's last
+    batch with the version that holds it, so a batch that is given again changes nothing.
+    ``transform`` must leave one row per key."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        context = batch.sparkSession.sparkContext
-        stream_id = context.getLocalProperty("sql.streaming.queryId")
-        folder = f"{target}/stream_id={stream_id}/batch_id={batch_id}"
-        batch.transform(transform).write.mode("overwrite").parquet(folder)
+        once = (stream_of(batch), batch_id)
+        table.upsert(batch.transform(transform), keys, batch=once, **options)
 
     return write
 
@@ -98,6 +170,8 @@ class StreamIngest:
     schema: T.StructType = field(default_factory=lambda: RAW_ORDERS_SCHEMA)
     env: str = "dev"
     trigger: str = DEFAULT_TRIGGER
+    #: A timestamp of the message whose day becomes a folder level, such as ``_ingestion_ts``.
+    day_of: str | None = None
     query: StreamingQuery | None = None
 
     @property
@@ -110,7 +184,7 @@ class StreamIngest:
         clean = compose(TrimStrings(), AddAuditColumns(name, self.env))
         self.query = (
             parse_messages(messages, self.schema)
-            .writeStream.foreachBatch(batch_writer(self.target, clean))
+            .writeStream.foreachBatch(batch_writer(self.target, clean, self.day_of))
             .option("checkpointLocation", f"{self.checkpoint.rstrip('/')}/{name}")
             .trigger(**trigger_options(self.trigger))
             .start()

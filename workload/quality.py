@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from oreflow.operators.gold import dq_trend
+from oreflow.operators.incremental import IncrementalChecks
 from oreflow.operators.quality import (
     AcceptedValuesCheck,
     DataQualityChecker,
@@ -102,6 +103,16 @@ def full(spark, sf_dir):
     return results(full_suite(), raw_orders(spark, sf_dir))
 
 
+def incremental(spark, sf_dir):
+    """The suite over three loads, each read when it comes; the first comes twice."""
+    checks = IncrementalChecks(full_suite(), scratch_path(spark, "checks"))
+    rows = raw_orders(spark, sf_dir)
+    load = F.coalesce("quantity", F.lit(0)) % 3
+    for name in (0, 1, 2, 0):
+        checks.add(rows.filter(load == name), str(name))
+    return results(checks, spark)
+
+
 def summary(spark, sf_dir):
     return summarise(full_suite().results(raw_orders(spark, sf_dir)))
 
@@ -389,6 +400,7 @@ ENTRIES = {
         ),
     ),
     "dq_suite": (full, joined(*full_rows())),
+    "dq_incremental": (incremental, joined(*full_rows())),
     "dq_gate": (
         gate,
         f"""WITH {RAW_ORDERS_SQL}, r AS ({" UNION ALL ".join(full_rows())})

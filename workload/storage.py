@@ -135,6 +135,15 @@ def upsert_partitioned(spark, sf_dir):
     return loaded(spark, sf_dir, partition_by=["o_orderstatus"])[0].read()
 
 
+def upsert_bucketed(spark, sf_dir):
+    """The changes into a table of 16 buckets by order key."""
+    base, changes = base_and_changes(spark, sf_dir)
+    orders = SnapshotTable(spark, scratch_path(spark, "orders"))
+    orders.upsert(base, ["o_orderkey"], buckets=16)
+    orders.upsert(changes, ["o_orderkey"])
+    return orders.read()
+
+
 def upsert_columns(spark, sf_dir):
     return loaded(spark, sf_dir, update_columns=["o_orderpriority"])[0].read()
 
@@ -354,3 +363,4 @@ ENTRIES |= {
     "upsert_text_keys": (upsert_text_keys, ENTRIES["upsert_columns"][1]),
     "upsert_text_keys_delete": (upsert_text_keys_delete, ENTRIES["upsert_delete"][1]),
 }
+ENTRIES |= {"upsert_bucketed": (upsert_bucketed, ENTRIES["upsert"][1])}
