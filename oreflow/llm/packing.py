@@ -152,7 +152,10 @@ def _tokenised(docs: DataFrame, path: str, id: str, text: str, source: str) -> D
     arrow = arrow_schema(schema)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words.of(path)
+        with Words.shared(path) as words:
+            yield from tokenised(batches, words)
+
+    def tokenised(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId()
         sums: dict = {}
         for batch in (part for whole in batches for part in slices_of(whole, 2, SLICE)):

@@ -17,9 +17,11 @@ import json
 import os
 import re
 import sys
+import threading
 import types
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ OVERLAP = 1 << 8
 #: About how many words a process keeps, and the longest that is kept; others are encoded anew.
 KEPT_WORDS = 1_000_000
 KEPT_LETTERS = 48
+#: Seconds for which they are kept after a task.
+KEPT_SECONDS = 5.0
 #: Bytes of text whose words are told apart at once.
 SLICE = 1 << 23
 _STORE = "_words_by_tokenizer"
@@ -102,9 +106,28 @@ class Words:
     def of(path: str) -> "Words":
         """The one of this process: tasks that follow one another share what it has met."""
         store = sys.modules.setdefault(_STORE, types.ModuleType(_STORE)).__dict__
-        if path not in store:
-            store[path] = Words(path)
-        return store[path]
+        return store.get(path) or store.setdefault(path, Words(path))
+
+    @staticmethod
+    @contextmanager
+    def shared(path: str) -> Iterator["Words"]:
+        """``of`` for one task. Some seconds after the last task it is dropped, so that later
+        work has its memory."""
+        words, store = Words.of(path), sys.modules[_STORE].__dict__
+        if "timer" in store:
+            store["timer"].cancel()
+        store[path] = words
+        try:
+            yield words
+        finally:
+            store["timer"] = threading.Timer(KEPT_SECONDS, Words._drop, [path])
+            store["timer"].daemon = True
+            store["timer"].start()
+
+    @staticmethod
+    def _drop(path: str) -> None:
+        sys.modules[_STORE].__dict__.pop(path, None)
+        pa.default_memory_pool().release_unused()
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as unsigned 32-bit integers."""
@@ -272,11 +295,11 @@ def counted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Words.of(path)
-        for series in batches:
-            rows = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
-            counts = [_counts(words, part.column(0)) for part in slices_of(rows, 0, SLICE)]
-            yield pd.Series(np.concatenate([np.zeros(0, np.int64), *counts]))
+        with Words.shared(path) as words:
+            for series in batches:
+                rows = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
+                counts = [_counts(words, part.column(0)) for part in slices_of(rows, 0, SLICE)]
+                yield pd.Series(np.concatenate([np.zeros(0, np.int64), *counts]))
 
     return docs.withColumns(
         {
