@@ -39,7 +39,7 @@ OVERLAP = 1 << 8
 KEPT_WORDS = 1_000_000
 KEPT_LETTERS = 48
 #: Seconds for which they are kept after a task.
-KEPT_SECONDS = 5.0
+KEPT_SECONDS = 30.0
 #: Bytes of text whose words are told apart at once.
 SLICE = 1 << 23
 _STORE = "_words_by_tokenizer"
