@@ -1,16 +1,17 @@
-"""Licence scans by a positional index of rare template words, with DataFrame functions only.
-
-The templates are short licence texts and phrases. How many documents hold each of their
-words gives the words' IDF. A template is looked up by its rarest words and by the rarest
-word of its key phrase: where one of these stands in a file, its place in the template gives the place where the template would begin.
-For each such beginning the file's words are intersected with the template's by relative
-position. A template is found if the matched words hold the share
-``LEAST_SHARE`` of its IDF and its key phrase stands there whole; a base phrase must stand
+"""Licence scans by a positional index of licence words, with DataFrame functions only.
+
+The templates are licence texts, their notices and phrases. How many documents hold each of
+their words gives the words' IDF. The index holds every template word with its places. A file
+looks up the ``RARE_WORDS`` licence words of highest IDF that it holds, and the rarest word of
+each key phrase: where one of these stands, its place in a template gives the place where the
+template would begin. A beginning is kept if the template's key phrase stands there whole; the
+file's words are then intersected with the template's by relative position. A template is
+found if the matched words hold the share ``LEAST_SHARE`` of its IDF; a base phrase must stand
 there whole itself. A key phrase brings its rarest word with it, so no template that would be
-found is missed, whatever words the corpus makes rare.
+found is missed, whatever words the file or the corpus makes rare.
 
-Everything about a file happens within its row; only the word counts are shuffled, and
-they have as many rows as the templates have words.
+Everything about a file happens within its row, in time linear in its length; only the word
+counts are shuffled, and they have as many rows as the templates have words.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 
 from oreflow.llm.common import blank_text, quoted
 
-#: By how many words a template of at least so many words is looked up; others by one. Its key's rarest is added.
+#: How many of its licence words of highest IDF a file looks up, besides the keys' rarest words.
 RARE_WORDS = 3
-LONG_TEMPLATE = 8
 LEAST_SHARE = 0.6
+#: A beginning is kept as template * 2**32 + first word + the longest template, which may begin before the file.
+_TEMPLATE = 1 << 32
 #: What lies between words: ASCII but for digits and (lower-case) letters.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -64,6 +66,70 @@ LICENCES = (
     Template("lgpl", "gnu lesser general public license", "lesser general public license"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge"),
     Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    # Whole texts and notices, in lower-case words.
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation "
+        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions the above "
+        "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        "software the software is provided as is without warranty of any kind express or implied including but not "
+        "limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no "
+        "event shall the authors or copyright holders be liable for any claim damages or other liability whether in "
+        "an action of contract tort or otherwise arising from out of or in connection with the software or the use "
+        "or other dealings in the software",
+        "to deal in the software without restriction",
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies the "
+        "software is provided as is and the author disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness",
+        "with or without fee is hereby granted",
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that "
+        "the following conditions are met 1 redistributions of source code must retain the above copyright notice "
+        "this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the "
+        "above copyright notice this list of conditions and the following disclaimer in the documentation and or "
+        "other materials provided with the distribution",
+        "redistributions of source code must retain",
+    ),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+        "with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless "
+        "required by applicable law or agreed to in writing software distributed under the license is distributed on "
+        "an as is basis without warranties or conditions of any kind either express or implied see the license for "
+        "the specific language governing permissions and limitations under the license",
+        "except in compliance with the license",
+    ),
+    Template(
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version 3 of the license or at your "
+        "option any later version this program is distributed in the hope that it will be useful but without any "
+        "warranty without even the implied warranty of merchantability or fitness for a particular purpose see the "
+        "gnu general public license for more details",
+        "under the terms of the gnu general public license",
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held "
+        "liable for any damages arising from the use of this software permission is granted to anyone to use this "
+        "software for any purpose including commercial applications and to alter it and redistribute it freely",
+        "alter it and redistribute it freely",
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+        "use compile sell or distribute this software either in source code form or as a compiled binary for any "
+        "purpose commercial or non commercial and by any means",
+        "free and unencumbered software",
+    ),
     Template("public-domain", "this work has been released into the public domain", "public domain"),
 )
 
@@ -87,16 +153,14 @@ def word_idf(docs: DataFrame, text: str, templates: tuple[Template, ...]) -> dic
     return {w: math.log(1 + n / (1 + held.get(w, 0))) for w in vocabulary}
 
 
-def rare_words(template: Template, idf: dict[str, float]) -> list[str]:
-    """The words a template is looked up by: its rarest (one if it is short), and its key's rarest."""
-    count = RARE_WORDS if len(template.words) >= LONG_TEMPLATE else 1
-    ranked = sorted(set(template.words), key=lambda w: (-idf[w], w))
-    key = {template.words[at] for at in template.key_places}
-    return ranked[:count] + [w for w in ranked if w in key][:1]
+def key_words(templates: tuple[Template, ...], idf: dict[str, float]) -> list[str]:
+    """The rarest word of each template's key phrase."""
+    keys = [{t.words[at] for at in t.key_places} for t in templates]
+    return sorted({min(key, key=lambda w: (-idf[w], w)) for key in keys})
 
 
-def _best(values: Column) -> Column:
-    return F.coalesce(F.array_max(values), F.lit(0.0))
+def _map(entries: dict[str, Column]) -> Column:
+    return F.create_map(*[part for word, value in entries.items() for part in (F.lit(word), value)])
 
 
 def with_licences(docs: DataFrame, text: str = "text", licences: tuple[Template, ...] = LICENCES) -> DataFrame:
@@ -110,22 +174,14 @@ def with_licences(docs: DataFrame, text: str = "text", licences: tuple[Template,
     """
     templates = BASE + tuple(licences)
     idf = word_idf(docs, text, templates)
-    postings: dict[str, list[tuple[int, int]]] = {}
+    before = max(len(t.words) for t in templates)
+    postings: dict[str, list[int]] = {}
     for number, t in enumerate(templates):
-        for word in dict.fromkeys(rare_words(t, idf)):
-            postings.setdefault(word, []).extend(
-                (number, at) for at, w in enumerate(t.words) if w == word
-            )
-    index = F.create_map(
-        *[
-            part
-            for word, places in postings.items()
-            for part in (
-                F.lit(word),
-                F.array(*[F.struct(F.lit(n).alias("t"), F.lit(q).alias("q")) for n, q in places]),
-            )
-        ]
-    )
+        for at, word in enumerate(t.words):
+            postings.setdefault(word, []).append(number * _TEMPLATE + before - at)
+    index = _map({w: F.array(*[F.lit(p).cast("long") for p in places]) for w, places in postings.items()})
+    ranks = _map({w: F.lit(n) for n, w in enumerate(sorted(idf, key=lambda w: (-idf[w], w)))})
+    by_rank = F.array(*map(F.lit, sorted(idf, key=lambda w: (-idf[w], w))))
     shapes = F.array(
         *[
             F.struct(
@@ -134,61 +190,89 @@ def with_licences(docs: DataFrame, text: str = "text", licences: tuple[Template,
                 F.array(*[F.lit(idf[w]) for w in t.words]).alias("weights"),
                 F.lit(math.fsum(idf[w] for w in t.words)).alias("total"),
                 F.lit(t.key_places.start).alias("key"),
-                F.lit(t.key_places.stop).alias("key_end"),
+                F.array(*[F.lit(t.words[at]) for at in t.key_places]).alias("key_words"),
             )
             for t in templates
         ]
     )
     rows = docs.withColumn("\u0001words", _words(text))
-    places = F.transform("\u0001words", lambda w, i: F.when(w.isin(list(postings)), i))
-    begins = F.flatten(
-        F.transform(
-            F.filter(places, lambda place: place.isNotNull()),
-            lambda place: F.transform(
-                F.element_at(index, F.get("\u0001words", place)),
-                lambda p: F.struct(p["t"].alias("t"), (place - p["q"]).alias("start")),
-            ),
+    held = F.array_distinct(F.filter("\u0001words", lambda w: w.isin(list(idf))))
+    held = F.transform(held, lambda w: F.element_at(ranks, w))
+    rare = F.transform(F.slice(F.array_sort(held), 1, RARE_WORDS), lambda n: F.get(by_rank, n))
+    sought = F.array_union(rare, F.array(*map(F.lit, key_words(templates, idf))))
+
+    def start(begin: Column) -> Column:
+        return F.pmod(begin, F.lit(_TEMPLATE)) - F.lit(before)
+
+    def shape(begin: Column) -> Column:
+        return F.get(shapes, F.shiftright(begin, 32).cast("int"))
+
+    def stands(begin: Column, word: Column, at: Column) -> Column:
+        # One element at a time: a slice of a long array copies all of it.
+        return F.coalesce(F.get("\u0001words", (start(begin) + at).cast("int")) == word, F.lit(False))
+
+    def has_key(begin: Column) -> Column:
+        key = F.transform(shape(begin)["key_words"], lambda w, q: stands(begin, w, shape(begin)["key"] + q))
+        return F.forall(key, lambda here: here)
+
+    def begins_of(sought: Column) -> Column:
+        places = F.transform("\u0001words", lambda w, i: F.when(F.array_contains(sought, w), i))
+        return F.flatten(
+            F.transform(
+                F.filter(places, lambda place: place.isNotNull()),
+                lambda place: F.filter(
+                    F.transform(F.element_at(index, F.get("\u0001words", place)), lambda p: p + place), has_key
+                ),
+            )
         )
-    )
+
+    # Named by a function, the sought words are found once; a column of their own would be made anew at each word.
+    begins = F.get(F.transform(F.array(sought), begins_of), 0)
 
     def aligned(begin: Column) -> Column:
-        shape = F.get(shapes, begin["t"])
-        here = lambda q: F.get("\u0001words", begin["start"] + q)
-        matched = F.filter(
-            F.transform(shape["words"], lambda w, q: F.when(here(q) == w, q)),
-            lambda q: q.isNotNull(),
+        share = F.aggregate(
+            F.transform(
+                shape(begin)["words"],
+                lambda w, q: F.when(stands(begin, w, q), F.get(shape(begin)["weights"], q)).otherwise(0.0),
+            ),
+            F.lit(0.0),
+            lambda sum, weight: sum + weight,
         )
-        share = F.aggregate(matched, F.lit(0.0), lambda sum, q: sum + F.get(shape["weights"], q))
-        key = F.filter(matched, lambda q: (q >= shape["key"]) & (q < shape["key_end"]))
         return F.struct(
-            begin["t"].alias("t"),
-            shape["label"].alias("label"),
-            begin["start"].cast("long").alias("start"),
-            F.least(share / shape["total"], F.lit(1.0)).alias("share"),
-            (F.size(key) == shape["key_end"] - shape["key"]).alias("verified"),
+            shape(begin)["label"].alias("label"),
+            start(begin).alias("start"),
+            F.least(share / shape(begin)["total"], F.lit(1.0)).alias("share"),
         )
 
-    found = F.filter(
-        F.transform("\u0001begins", aligned), lambda x: x["verified"] & (x["share"] >= LEAST_SHARE)
-    )
-    rows = rows.withColumn("\u0001begins", F.array_distinct(begins)).withColumn("\u0001found", found)
-    base = F.filter("\u0001found", lambda x: x["t"] < len(BASE))
-    starts = F.transform("\u0001base", lambda x: x["start"])
+    # Base phrases stand whole where their key does. They stay numbers: a text may hold a million.
+    base = F.filter("\u0001begins", lambda begin: begin < len(BASE) * _TEMPLATE)
+    other = F.filter("\u0001begins", lambda begin: begin >= len(BASE) * _TEMPLATE)
+    licence = F.filter(F.transform(other, aligned), lambda x: x["share"] >= LEAST_SHARE)
+    rows = rows.withColumn("\u0001begins", F.array_distinct(begins))
+    rows = rows.withColumns({"\u0001base": base, "\u0001licence": licence})
+    base_numbers = F.array_distinct(F.transform("\u0001base", lambda begin: F.shiftright(begin, 32)))
+    base_labels = F.transform(base_numbers, lambda t: F.get(shapes, t.cast("int"))["label"])
+    labels = F.transform("\u0001licence", lambda x: x["label"])
 
-    def joined(places: str) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda x: x["label"]))), ",")
+    def joined(names: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+    def place(label: Column, start: Column, share: Column) -> Column:
+        return F.struct(label.alias("label"), start.alias("start"), share.alias("share"))
 
-    rows = rows.withColumn("\u0001base", base)
     results = {
         "n_words": F.size("\u0001words").cast("long"),
         "n_base": F.size("\u0001base").cast("long"),
-        "first_word": F.array_min(starts),
-        "last_word": F.array_max(starts),
-        "base_labels": joined("\u0001base"),
-        "labels": joined("\u0001found"),
-        "score": _best(F.transform("\u0001found", lambda x: x["share"])),
-        "found": F.transform(
-            "\u0001found", lambda x: F.struct(x["label"].alias("label"), x["start"].alias("start"), x["share"].alias("share"))
+        "first_word": F.array_min(F.transform("\u0001base", start)),
+        "last_word": F.array_max(F.transform("\u0001base", start)),
+        "base_labels": joined(base_labels),
+        "labels": joined(F.concat(base_labels, labels)),
+        "score": F.when(F.size("\u0001base") > 0, 1.0).otherwise(
+            F.coalesce(F.array_max(F.transform("\u0001licence", lambda x: x["share"])), F.lit(0.0))
+        ),
+        "found": F.concat(
+            F.transform("\u0001base", lambda begin: place(shape(begin)["label"], start(begin), F.lit(1.0))),
+            F.transform("\u0001licence", lambda x: place(x["label"], x["start"], x["share"])),
         ),
     }
-    return rows.withColumns(results).drop(*[f"\u0001{c}" for c in ("words", "begins", "found", "base")])
+    return rows.withColumns(results).drop(*[f"\u0001{c}" for c in ("words", "begins", "base", "licence")])

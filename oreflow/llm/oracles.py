@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oreflow.llm.licences import BASE, LEAST_SHARE, LICENCES, LONG_TEMPLATE, RARE_WORDS
+from oreflow.llm.licences import BASE, LEAST_SHARE, LICENCES
 from oreflow.llm.oracles_keyed import merkle, vector_codes
 from oreflow.llm.warc import ENTITIES, SPACES, STEPS
 
@@ -35,16 +35,10 @@ idf AS (
   FROM (SELECT DISTINCT word FROM shape) LEFT JOIN hits USING (word) GROUP BY word
 ),
 weighted AS (SELECT * FROM shape JOIN idf USING (word)),
-ranked AS (
-  SELECT t, word, row_number() OVER (PARTITION BY t ORDER BY weight DESC, word) AS place
-  FROM (SELECT DISTINCT t, word, weight FROM weighted)
-),
 begins AS (
   SELECT DISTINCT doc_id, w.t, place - q AS start
   FROM hits JOIN weighted w USING (word)
-  WHERE (w.t, w.word) IN (SELECT (t, word) FROM ranked 
-    WHERE place <= CASE WHEN (SELECT count(*) FROM shape s WHERE s.t = ranked.t) >= {LONG_TEMPLATE}
-                        THEN {RARE_WORDS} ELSE 1 END)
+  WHERE (w.t, w.q) IN (SELECT (t, min(q)) FROM shape WHERE in_key GROUP BY t)
 ),
 shares AS (
   SELECT b.doc_id, b.t, b.start, any_value(w.label) AS label,
