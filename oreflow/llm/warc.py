@@ -16,7 +16,8 @@ DATE = "2026-01-01T00:00:00Z"
 # Elements that end a line of text, and the named entities that are decoded.
 BLOCKS = "address|article|blockquote|br|dd|div|dt|figcaption|footer|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 ENTITIES = (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
-#: What is taken out of a page for its text, in order: a pattern and what stands in its place.
+#: What is taken out of a page for its text, in order: a pattern and what stands in its place. The last two end
+#: with ">" and are tried only up to the last one, for behind it each "<" would search to the end in vain.
 STEPS = (
     (r"(?is)<script\b.*?(</script\s*>|$)", " "),
     (r"(?is)<style\b.*?(</style\s*>|$)", " "),
@@ -30,8 +31,16 @@ SPACES = ((r"[ \t\f\r\x0B ]+", " "), (r" ?\n[ \n]*", "\n"))
 
 def plain_text(html: Column) -> Column:
     """The text of a page, a line for each block element."""
-    for pattern, place in STEPS:
+    def without_tags(page: Column) -> Column:
+        rest = F.substring_index(page, ">", -1)
+        tagged = F.substring(page, F.lit(1), F.length(page) - F.length(rest))
+        for pattern, place in STEPS[-2:]:
+            tagged = F.regexp_replace(tagged, pattern, place)
+        return F.concat(tagged, rest)
+
+    for pattern, place in STEPS[:-2]:
         html = F.regexp_replace(html, pattern, place)
+    html = F.get(F.transform(F.array(html), without_tags), 0)  # names the page, so it is made once
     for entity, sign in ENTITIES:
         html = F.replace(html, F.lit(entity), F.lit(sign))
     for pattern, place in SPACES:
@@ -82,14 +91,29 @@ def responses(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
     )
 
 
+def _source_headers(head: Column) -> Column:
+    """Every header of an HTTP head in its order, as ``source-<name>: value``; folded lines are joined."""
+    lines = F.split(F.regexp_replace(head, r"\r?\n[ \t]+", " "), r"\r?\n")
+    headers = F.filter(F.slice(lines, 2, F.size(lines)), lambda line: F.instr(line, ":") > 1)
+    return F.transform(
+        headers,
+        lambda line: F.concat(
+            F.lit("source-"),
+            F.lower(F.trim(F.substring_index(line, ":", 1))),
+            F.lit(": "),
+            F.trim(F.substring(line, F.instr(line, ":") + 1, F.length(line))),
+        ),
+    )
+
+
 def derivatives(records: DataFrame) -> DataFrame:
     """For each response of ``records`` a metadata and a conversion record that refer to it.
 
-    The metadata block has the source's HTTP status and headers, its digests, and the title,
-    the links and the characters of the text; the conversion block is the text. Both keep
-    the target and the source's payload digest. Other record types are passed over; a
-    response without a head or a body has an empty one; repeated responses give repeated
-    records.
+    The metadata block has the source's HTTP status and all its headers, its digests, and the
+    title, the links and the characters of the text; the conversion block is the text. Both
+    keep the target, the source's payload digest and its ``warc_date``, if there is one. Other
+    record types are passed over; a response without a head or a body has an empty one;
+    repeated responses give repeated records. All patterns take time linear in the page.
     """
     split = F.instr("block", "\r\n\r\n")
     rows = records.where("record_type = 'response'").withColumns(
@@ -99,13 +123,14 @@ def derivatives(records: DataFrame) -> DataFrame:
         }
     )
     rows = rows.withColumn("plain", plain_text(F.col("body")))
-    title = F.trim(F.regexp_replace(F.regexp_extract("body", r"(?is)<title[^>]*>(.*?)</title", 1), r"\s+", " "))
-    links = F.size(F.regexp_extract_all("body", F.lit(r"(?i)<a\s[^>]*href="), F.lit(0)))
+    # Atomic groups and the anchor keep a page of openings without ends from being read once for each.
+    title = F.regexp_extract("body", r"(?is)\A(?>.*?<title)(?>[^>]*>)(.*?)</title", 1)
+    title = F.trim(F.regexp_replace(title, r"\s+", " "))
+    links = F.size(F.filter(F.split("body", ">"), lambda tag: tag.rlike(r"(?is)\A(?>.*?<a\s).*href=")))
     lines = F.concat_ws(
         "\r\n",
         F.concat(F.lit("source-status: "), F.regexp_extract("head", r"^HTTP/\S+ (\d+)", 1)),
-        F.concat(F.lit("source-content-type: "), F.regexp_extract("head", r"(?im)^Content-Type: *([^\r\n]*)", 1)),
-        F.concat(F.lit("source-content-length: "), F.regexp_extract("head", r"(?im)^Content-Length: *([^\r\n]*)", 1)),
+        _source_headers(F.col("head")),
         F.concat(F.lit("source-block-digest: "), F.coalesce("block_digest", F.lit(""))),
         F.concat(F.lit("title: "), title),
         F.concat(F.lit("outlinks: "), links.cast("string")),
@@ -121,7 +146,8 @@ def derivatives(records: DataFrame) -> DataFrame:
             F.col("plain").alias("block"),
         ),
     )
-    rows = rows.select("page_id", "record_id", "target_uri", "payload_digest", F.explode(kinds).alias("k"))
+    date = [c for c in records.columns if c == "warc_date"]
+    rows = rows.select("page_id", "record_id", "target_uri", "payload_digest", *date, F.explode(kinds).alias("k"))
     return rows.select(
         "page_id",
         "k.record_type",
@@ -132,16 +158,23 @@ def derivatives(records: DataFrame) -> DataFrame:
         "k.block",
         _digest(F.col("k.block")).alias("block_digest"),
         "payload_digest",
+        *date,
     )
 
 
 def write_warc(records: DataFrame, path: str, date: str = DATE) -> None:
-    """Write records as WARC files, one record after the other, below a new folder ``path``."""
+    """Write records as WARC files, one record after the other, below a new folder ``path``.
+
+    A record's date is its ``warc_date``, and ``date`` where that column or value is missing.
+    Derivatives keep their source's payload digest in a field of its own name.
+    """
+    stamp = F.coalesce("warc_date", F.lit(date)) if "warc_date" in records.columns else F.lit(date)
     fields = [
         ("WARC-Type", F.col("record_type")), ("WARC-Record-ID", F.col("record_id")),
-        ("WARC-Refers-To", F.col("refers_to")), ("WARC-Date", F.lit(date)),
+        ("WARC-Refers-To", F.col("refers_to")), ("WARC-Date", stamp),
         ("WARC-Target-URI", F.col("target_uri")), ("WARC-Block-Digest", F.col("block_digest")),
         ("WARC-Payload-Digest", F.when(F.col("record_type") == "response", F.col("payload_digest"))),
+        ("WARC-Source-Payload-Digest", F.when(F.col("record_type") != "response", F.col("payload_digest"))),
         ("Content-Type", F.col("content_type")),
         ("Content-Length", F.octet_length("block").cast("string")),
     ]
