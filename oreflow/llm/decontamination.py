@@ -1,11 +1,14 @@
 """Benchmark decontamination by BM25 over an inverted index of test items.
 
 Every passage of every training text is a query. An item's score is the share of its own
-BM25 weight that the passage's words hold (1 if all of its words are there). Retrieval
-returns every item at or above ``THRESHOLD`` and skips the others by upper bounds, as in
-block-max WAND: first the sum of the largest weight each word has in any item, then for each
-block of items the sum of the largest weights in that block, then the score itself. The
-bounds are computed for many passages at a time.
+BM25 weight that the passage's words hold (1 if all of its words are there). The index holds
+a posting list for each word, its items in order, cut at fixed blocks of items, with the
+largest weight of the whole list and of each block. Retrieval returns every item at or above
+``THRESHOLD`` and skips the others by upper bounds, as in block-max WAND: a passage is passed
+over if the largest weights of its words' lists do not reach the threshold, a block of items
+if the largest weights of its blocks do not, and only postings of blocks that are left are
+read and added up. The bounds are computed for many passages at a time, so there is no cursor
+that moves from pivot to pivot.
 
 A retrieved item must be verified: of the words of its question, and of those of its answer,
 the passage must hold the share ``OVERLAP``. The answer is an item's last sentence, or the
@@ -13,9 +16,10 @@ last third of its words if it has one sentence; the question is what comes befor
 
 Passages are windows of twice the longest item, every such length, so that each place where
 an item could stand lies whole in a window. Items are grouped by their length to powers of
-two, each group with its own windows. The index is built for blocks of at most
-``ITEM_BYTES`` of items, one after the other, so what is sent to the executors is bounded
-whatever the number of items.
+two, each group with its own windows. The index is built for parts of at most about
+``ITEM_BYTES`` of items. If there are several, the texts are searched with one after the
+other: the matches so far are written before the next index is built, so the driver and the
+executors hold one at a time, whatever the number of items.
 """
 
 import pickle
@@ -38,8 +42,10 @@ THRESHOLD = 0.7
 OVERLAP = 0.8
 #: Text of the items of one index.
 ITEM_BYTES = 4 << 20
-#: Blocks of items with upper bounds of their own, in each group of an index.
-BLOCKS = 64
+#: Items of a block with an upper bound of its own.
+BLOCK = 16
+#: Postings and block bounds that are added up together.
+_AT_ONCE = 1 << 18
 #: Items of fewer words share one group.
 SHORT = 8
 #: Characters of the texts that are searched together.
@@ -70,21 +76,62 @@ def question_and_answer(text: str | None) -> tuple[set[bytes], set[bytes]]:
     return set(words[:cut]), set(words[cut:])
 
 
+@dataclass
+class _Lists:
+    """Posting lists of all words, one after the other: word ``w`` has the entries ``begins[w]`` to ``begins[w + 1]``."""
+
+    begins: np.ndarray
+    places: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, words: np.ndarray, places: np.ndarray, weights: np.ndarray, count: int) -> "_Lists":
+        """From entries ordered by word, then place."""
+        return cls(np.searchsorted(words, np.arange(count + 1)), places, weights)
+
+    def entries(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each entry of the lists of ``words`` the number of its word among them, and the entry."""
+        sizes = self.begins[words + 1] - self.begins[words]
+        owner = np.repeat(np.arange(len(words)), sizes)
+        return owner, np.arange(len(owner)) + np.repeat(self.begins[words] - np.cumsum(sizes) + sizes, sizes)
+
+
 @dataclass
 class _Group:
     """The index of the items of similar length; items are numbered in their order.
 
-    ``highest`` holds for each word (of the group's own numbering) the largest weight in each
-    block of items, ``bound`` the largest weight in any; ``postings`` the weights by item.
+    Words have the group's own numbers, the last being all words that it does not have.
+    ``bound`` is the largest weight in each word's list, ``blocks`` has it by block of items,
+    and ``postings`` has the weights by word and block, then item.
     """
 
     stride: int = 1
     items: list[int] = field(default_factory=list)
-    postings: list[dict[int, float]] = field(default_factory=list)
+    found: list[tuple[int, int, float]] = field(default_factory=list)
     numbers: np.ndarray | None = None
     bound: np.ndarray | None = None
-    highest: np.ndarray | None = None
-    block: int = 1
+    blocks: _Lists | None = None
+    postings: _Lists | None = None
+
+    def add(self, item: int, size: int, weights: dict[int, float]) -> None:
+        self.found += [(term, len(self.items), weight) for term, weight in weights.items()]
+        self.items.append(item)
+        self.stride = max(self.stride, size)
+
+    def finish(self, terms: int) -> None:
+        """Turn what was added into posting lists and bounds."""
+        self.found.sort()
+        term, place, weight = (np.array(c) for c in zip(*self.found, strict=True))
+        self.found = []
+        used, word = np.unique(term, return_inverse=True)
+        self.numbers = np.full(terms + 1, len(used))
+        self.numbers[used] = np.arange(len(used))
+        self.bound = np.append(np.maximum.reduceat(weight, np.flatnonzero(np.diff(word, prepend=-1))), 0.0)
+        count = -(-len(self.items) // BLOCK)
+        new = np.flatnonzero(np.diff(word * count + place // BLOCK, prepend=-1))
+        self.blocks = _Lists.of(word[new], place[new] // BLOCK, np.maximum.reduceat(weight, new), len(used) + 1)
+        # One list of postings for each block that a word has.
+        self.postings = _Lists(np.append(new, len(place)), place, weight)
 
 
 class Index:
@@ -101,7 +148,6 @@ class Index:
                 continue
             level = max(SHORT, 1 << (len(words) - 1).bit_length())
             group = groups.setdefault(level, _Group())
-            group.stride = max(group.stride, len(words))
             norm = K1 * (1 - B + B * len(words) / mean)
             own = {}
             for word, times in Counter(words).items():
@@ -110,24 +156,13 @@ class Index:
                 term = self.terms.setdefault(word, len(self.terms))
                 own[term] = idf * times * (K1 + 1) / (times + norm)
             total = sum(own.values())
-            group.items.append(number)
-            group.postings.append({term: weight / total for term, weight in own.items()})
+            group.add(number, len(words), {term: weight / total for term, weight in own.items()})
         self.groups = [groups[level] for level in sorted(groups)]
         for group in self.groups:
-            used = sorted({term for posting in group.postings for term in posting})
-            # Words that the group does not have share the last entry, which weighs nothing.
-            group.numbers = np.full(len(self.terms) + 1, len(used))
-            group.numbers[used] = np.arange(len(used))
-            group.block = -(-len(group.items) // BLOCKS)
-            group.highest = np.zeros((len(used) + 1, -(-len(group.items) // group.block)), np.float32)
-            for place, posting in enumerate(group.postings):
-                column = group.highest[:, place // group.block]
-                at = group.numbers[list(posting)]
-                column[at] = np.maximum(column[at], np.float32(list(posting.values())))
-            group.bound = group.highest.max(axis=1)
-
-    def _passages(self, group: _Group, terms: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
-        """(document, first word, block) of the passages whose bound reaches the threshold."""
+            group.finish(len(self.terms))
+
+    def _retrieved(self, group: _Group, terms: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        """(document, first word, place of the item, score) of every item that reaches the threshold in a passage."""
         own = group.numbers[terms]
         chunks = -(-sizes // group.stride)
         firsts = np.cumsum(chunks) - chunks
@@ -159,14 +194,17 @@ class Index:
         passage, counts = passage[begins[reaches]], counts[reaches]
         owners = np.repeat(np.arange(len(sizes)), chunks)
         ends = np.cumsum(counts)
-        for low in range(0, len(passage), 1024):
-            high = min(low + 1024, len(passage))
-            offset = ends[low] - counts[low]
-            rows = group.highest[word[offset : ends[high - 1]]]
-            bounds = np.add.reduceat(rows, ends[low:high] - counts[low:high] - offset, axis=0)
-            for at, block in zip(*np.nonzero(bounds >= least), strict=True):
+        # Passages are taken together until the entries of their words' block lists fill the work memory.
+        work = np.cumsum(np.diff(group.blocks.begins)[word])
+        low = 0
+        while low < len(passage):
+            done = work[ends[low - 1] - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(work[ends - 1], done + _AT_ONCE, "right")))
+            inner = np.repeat(np.arange(high - low), counts[low:high])
+            for at, place, score in _reaching(group, inner, word[ends[low] - counts[low] : ends[high - 1]], least):
                 p = passage[low + at]
-                yield int(owners[p]), int(p - firsts[owners[p]]) * group.stride, int(block)
+                yield int(owners[p]), int(p - firsts[owners[p]]) * group.stride, place, score
+            low = high
 
     def matches(self, texts: list[str | None]) -> list[list[tuple]]:
         """For each text (item, score, question, answer) of its verified items, the best passage of each."""
@@ -177,23 +215,40 @@ class Index:
         terms = np.array([find(w, other) for ws in words for w in ws], np.int64)
         starts = np.cumsum(sizes) - sizes
         for group in self.groups if len(terms) else ():
-            for doc, begin, block in self._passages(group, terms, starts, sizes):
+            for doc, begin, place, score in self._retrieved(group, terms, starts, sizes):
+                if score < THRESHOLD:
+                    continue
                 present = set(words[doc][begin : begin + 2 * group.stride])
-                held = {self.terms[w] for w in present if w in self.terms}
-                for place in range(block * group.block, min((block + 1) * group.block, len(group.items))):
-                    score = sum(w for t, w in group.postings[place].items() if t in held)
-                    if score < THRESHOLD:
-                        continue
-                    item = group.items[place]
-                    shares = [len(p & present) / len(p) if p else 1.0 for p in self.parts[item]]
-                    if min(shares) >= OVERLAP:
-                        found = (min(1.0, score), *shares)
-                        best[doc][item] = max(best[doc].get(item, found), found)
+                item = group.items[place]
+                shares = [len(p & present) / len(p) if p else 1.0 for p in self.parts[item]]
+                if min(shares) >= OVERLAP:
+                    found = (min(1.0, score), *shares)
+                    best[doc][item] = max(best[doc].get(item, found), found)
         return [[(self.ids[i], *found[i]) for i in sorted(found)] for found in best]
 
 
-def _indexes(benchmark: DataFrame, id: str, text: str) -> Iterator[Index]:
-    """Indexes of blocks of items, with word statistics over all items."""
+def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, the sum of each one's weights, and which of them each key is."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(at, weights, len(distinct)), at
+
+
+def _reaching(group: _Group, passage: np.ndarray, word: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
+    """(passage, place, score) of the items that reach ``least``, of (passage, word) pairs without repeats."""
+    owner, entry = group.blocks.entries(word)
+    count, block = -(-len(group.items) // BLOCK), group.blocks.places[entry]
+    _, bounds, at = _sums(passage[owner] * count + block, group.blocks.weights[entry])
+    left = bounds[at] >= least
+    owner, entry = owner[left], entry[left]
+    of, posting = group.postings.entries(entry)
+    keys = passage[owner[of]] * len(group.items) + group.postings.places[posting]
+    keys, scores, _ = _sums(keys, group.postings.weights[posting])
+    for key, score in zip(keys[scores >= least].tolist(), scores[scores >= least].tolist(), strict=True):
+        yield *divmod(key, len(group.items)), score
+
+
+def _indexes(benchmark: DataFrame, id: str, text: str) -> Iterator[bytes]:
+    """Pickled indexes of parts of the items, each built when it is asked for, with word statistics over all items."""
     items = benchmark.select(F.col(quoted(id)).alias("item"), blank_text(text).alias("text"))
     items = saved(items, "benchmark")
     words = F.array_distinct(
@@ -215,7 +270,7 @@ def _indexes(benchmark: DataFrame, id: str, text: str) -> Iterator[Index]:
         rows = sorted(
             ((r["item"], r["text"]) for r in part.collect()), key=lambda r: (str(r[0]), r[1])
         )
-        yield Index(rows, {r["word"].encode(): r["count"] for r in found}, count, mean)
+        yield cloudpickle.dumps(Index(rows, {r["word"].encode(): r["count"] for r in found}, count, mean))
 
 
 def _ascii_lower(word: F.Column) -> F.Column:
@@ -268,12 +323,15 @@ def with_matches(
         )
     )
     context = docs.sparkSession.sparkContext
-    found = [
-        _searching(context.broadcast(cloudpickle.dumps(index)), kind)(blank_text(text))
-        for index in _indexes(benchmark, item_id, item_text)
-    ]
-    all_of = F.concat(*found) if found else F.array().cast(kind)
-    return docs.withColumn("matches", all_of)
+    found, sent = "\u0001matches", None
+    rows = docs.withColumn(found, F.array().cast(kind))
+    for pickled in _indexes(benchmark, item_id, item_text):
+        if sent is not None:
+            rows = saved(rows, "searched")
+            sent.destroy()
+        sent = context.broadcast(pickled)
+        rows = rows.withColumn(found, F.concat(found, _searching(sent, kind)(blank_text(text))))
+    return rows.withColumn("matches", F.col(found)).drop(found)
 
 
 def contaminated(
