@@ -10,6 +10,14 @@ served when a segment begins follows from the totals, its deficit there being th
 that is rounded off; so deficits carry over from segment to segment and from task to task
 without one task's waiting for another. A document only needs the totals of the queues and
 the place of its first token in its queue to be cut into its pieces.
+
+Sources may be any number. Those with a stated weight and the largest others have a queue of
+their own; the rest feed one more queue by the same round-robin, nested: groups of about
+``MEMBERS`` sources are merged into streams, groups of streams again, up to a single stream.
+Each merge gives its members their proportions in every window of its own, so up to any place
+a source is no further from its proportion than its share of a window of each merge; one of so
+few tokens a window could come nearer only in scraps of a few tokens. A document carries the totals
+of the groups above it, no task or driver all of them.
 """
 
 from __future__ import annotations
@@ -28,8 +36,10 @@ from oreflow.llm.tokens import SLICE, Words
 
 LENGTH = 2048
 END = 1
-#: Sources with a queue of their own, the largest ones; all others share one more queue.
+#: Sources with a queue of their own, the largest ones; all others are merged into one more queue.
 QUEUES = 255
+#: Sources, or merged streams, of one merge, about.
+MEMBERS = 64
 #: Windows of a segment.
 SEGMENT = 64
 
@@ -37,9 +47,12 @@ SEGMENT = 64
 class Schedule:
     """Which window serves which tokens of each queue."""
 
-    def __init__(self, totals: list[int], weights: list[float] | None = None, length: int = LENGTH):
+    def __init__(
+        self, totals: list[int], weights: list[float] | None = None, length: int = LENGTH, keep: int = 1000
+    ):
         """``totals`` are the queues' tokens, ``weights`` the target proportions (by default
-        the totals themselves). A queue that runs dry leaves its share to the others."""
+        the totals themselves). A queue that runs dry leaves its share to the others.
+        ``keep`` bounds the planned segments that are kept for further documents."""
         self.totals = np.array(totals, np.int64)
         self.weights = np.array(totals if weights is None else weights, float)
         if (self.weights[self.totals > 0] <= 0).any():
@@ -54,6 +67,7 @@ class Schedule:
         self.done = np.array([np.minimum(self.totals, self.weights * t).sum() for t in self.dry])
         self.segments = int(-(-self.totals.sum() // self.quota))
         self.known: dict[int, tuple] = {}
+        self.keep = keep
 
     def served(self, segment: int) -> np.ndarray:
         """The tokens of each queue before a segment, never less than before the last one."""
@@ -110,7 +124,7 @@ class Schedule:
         takes = np.array(takes, np.int64).reshape(-1, len(first))
         begins = np.vstack([first, first + np.cumsum(takes, axis=0)])
         offsets = np.cumsum(takes, axis=1) - takes
-        if len(self.known) > 1000:
+        if len(self.known) >= self.keep:
             self.known.clear()
         self.known[number] = begins, offsets
         return begins, offsets
@@ -132,6 +146,91 @@ class Schedule:
             at, number = stop, number + 1
         return list(np.concatenate(found, axis=1))
 
+    def merged(self, queue: int, place: int, count: int) -> list[np.ndarray]:
+        """Start, length and place in the merged stream of all queues of each piece.
+
+        The stream is the windows one after the other. Only a segment's last window has room
+        left, and what was served before a segment follows from the totals.
+        """
+        start, length, sequence, offset = self.pieces(queue, place, count)
+        segments, of = np.unique(sequence // self.windows, return_inverse=True)
+        before = np.array([self.served(int(n)).sum() for n in segments])[of]
+        return [start, length, before + sequence % self.windows * self.length + offset]
+
+
+class Merges:
+    """The places of the smaller sources' documents in the queue they share."""
+
+    def __init__(self):
+        self.known: dict[int, Schedule] = {}
+
+    def schedule(self, node: int, totals: list[int]) -> Schedule:
+        if node not in self.known:
+            if len(self.known) >= 200:
+                self.known.clear()
+            self.known[node] = Schedule(totals, keep=4)
+        return self.known[node]
+
+    def placed(self, merges: list[dict], place: int, count: int) -> list[tuple[int, int, int]]:
+        """(start, length, place in the queue) of each piece of ``count`` tokens from ``place`` on.
+
+        ``merges`` lead from the source upwards: node, the member's number there, and totals.
+        """
+        parts = [(0, count, place)]
+        for merge in merges:
+            schedule, above = self.schedule(merge["node"], merge["totals"]), []
+            for start, length, at in parts:
+                pieces = schedule.merged(merge["member"], at, length)
+                above += [(start + s, n, to) for s, n, to in zip(*(c.tolist() for c in pieces), strict=True)]
+            parts = above
+        return parts
+
+
+def _merges(rest: DataFrame) -> DataFrame:
+    """(source, merges) of the sources in ``rest`` (source, tokens), by levels of groups.
+
+    A source's first group is drawn by its hash, which leaves about ``MEMBERS`` in each; further
+    up, groups are numbers in a row. Only the number of sources reaches the driver.
+    """
+    groups = -(-rest.count() // MEMBERS)
+    drawn = F.pmod(F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull()), F.lit(max(1, groups)))
+    of = rest.select("source", drawn.alias("group"), F.array().cast(_MERGES).alias("merges"))
+    nodes = rest.select(F.struct(F.col("source").isNotNull(), "source").alias("name"), "tokens", drawn.alias("group"))
+    first, level = True, 0
+    while True:
+        gathered = F.array_sort(F.collect_list(F.struct("name", "tokens")))
+        merged = nodes.groupBy("group").agg(gathered.alias("members"))
+        at = merged.select(
+            F.col("group").alias("in"),
+            F.posexplode("members").alias("member", "one"),
+            F.transform("members", lambda m: m["tokens"]).alias("totals"),
+        ).select("in", "member", "totals", "one.name")
+        here = (
+            (of["group"] == at["in"]) & of["source"].eqNullSafe(at["name"]["source"])
+            if first
+            else of["below"] == at["name"]
+        )
+        merge = F.struct(
+            # No two merges of any level have the same number.
+            (F.col("in") * 16 + level).alias("node"), F.col("member").cast("long").alias("member"), "totals"
+        )
+        of = of.join(at, here).select(
+            "source",
+            F.col("in").alias("below"),
+            F.floor(F.col("in") / MEMBERS).alias("group"),
+            F.concat("merges", F.array(merge)).alias("merges"),
+        )
+        if groups <= 1:
+            return of.select("source", "merges")
+        sums = F.aggregate("members", F.lit(0).cast("long"), lambda n, m: n + m["tokens"])
+        nodes = merged.select(
+            F.col("group").alias("name"), sums.alias("tokens"), F.floor(F.col("group") / MEMBERS).alias("group")
+        )
+        first, level, groups = False, level + 1, -(-groups // MEMBERS)
+
+
+_MERGES = "array<struct<node: bigint, member: bigint, totals: array<bigint>>>"
+
 
 def _tokenised(docs: DataFrame, path: str, id: str, text: str, source: str) -> DataFrame:
     """(id, source, block, before, count, ids): a document's ids, and its place in its block.
@@ -190,45 +289,53 @@ def packed(
     ids end with ``END``, so an empty or null text is one token. ``sequence_id`` names a
     sequence of at most ``LENGTH`` tokens, in which pieces lie without gap from offset 0; only
     the last sequence of a segment has room left. ``weights`` are target proportions by
-    source; by default a source has the share of its tokens, so that all run dry together.
-    A null source is a source of its own. Repeated rows are documents of their own. No rows
-    give no rows.
+    source; sources it does not name share further weight by their tokens, at as much a token
+    as the named ones have. By default all sources do, so that all run dry together. A weight
+    for a source with tokens must be above 0; names without tokens count for nothing. A null
+    source is a source of its own. Repeated rows are documents of their own. No rows give no
+    rows.
 
     The tokens are written to the work folder once. The totals of at most ``QUEUES`` sources
-    reach the driver.
+    and of those that ``weights`` names reach the driver.
     """
     tokens = saved(_tokenised(docs, path, id, text, source), "packing")
     blocks = tokens.groupBy("block", "source").agg(F.sum("count").alias("tokens"))
-    sums = blocks.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    largest = sums.orderBy(F.desc("tokens"), F.asc_nulls_first("source")).limit(QUEUES).collect()
+    sums = saved(blocks.groupBy("source").agg(F.sum("tokens").alias("tokens")), "packing_sources")
     total = sums.agg(F.sum("tokens")).head()[0] or 0
-    names = [r["source"] for r in largest]
-    totals = [r["tokens"] for r in largest]
-    names_share = None if weights is None else [weights.get(n, 0) for n in names]
+    spark = docs.sparkSession
+    stated = spark.createDataFrame([(n,) for n in weights or ()], "name string")
+    named = sums.join(F.broadcast(stated), sums["source"].eqNullSafe(stated["name"]), "left_semi").collect()
+    others = sums.join(F.broadcast(stated), sums["source"].eqNullSafe(stated["name"]), "left_anti")
+    own = named + others.orderBy(F.desc("tokens"), F.asc_nulls_first("source")).limit(QUEUES).collect()
+    totals = [r["tokens"] for r in own]
     rest = total - sum(totals)
+    shares = None
+    if named:
+        each = sum(weights[r["source"]] for r in named) / sum(r["tokens"] for r in named)
+        shares = [weights[r["source"]] for r in named] + [r["tokens"] * each for r in own[len(named) :]]
     if rest:
         totals.append(rest)
-        if names_share is not None:
-            names_share.append(sum(w for n, w in weights.items() if n not in names))
-    schedule = Schedule(totals, names_share)
-    queues = docs.sparkSession.createDataFrame(
-        [(n, at) for at, n in enumerate(names)], "source string, queue int"
-    )
-    # Within a queue the order is by source (of the shared one), block and place in the block.
-    placed = blocks.join(F.broadcast(queues), blocks["source"].eqNullSafe(queues["source"]), "left")
+        if shares is not None:
+            shares.append(rest * each)
+    schedule = Schedule(totals, shares)
+    queues = spark.createDataFrame([(r["source"], at) for at, r in enumerate(own)], "name string, queue long")
+    earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("first")
+    placed = blocks.select("source", "block", first)
+    placed = placed.join(F.broadcast(queues), placed["source"].eqNullSafe(queues["name"]), "left").drop("name")
+    if rest:
+        smaller = sums.join(F.broadcast(queues), sums["source"].eqNullSafe(queues["name"]), "left_anti")
+        merges = saved(_merges(smaller).withColumnRenamed("source", "name"), "packing_merges")
+        placed = placed.join(merges, placed["source"].eqNullSafe(merges["name"]), "left").drop("name")
+    else:
+        placed = placed.withColumn("merges", F.lit(None).cast(_MERGES))
     placed = placed.select(
-        blocks["source"], "block", "tokens", F.coalesce("queue", F.lit(len(names))).alias("queue")
-    )
-    earlier = Window.partitionBy("queue").orderBy("block", F.asc_nulls_first("source"))
-    placed = placed.withColumn(
-        "first", F.sum("tokens").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    ).select(
-        F.col("source").alias("of"), F.col("block").alias("in"), "queue",
-        F.coalesce("first", F.lit(0)).alias("first"),
+        F.col("source").alias("of"), F.col("block").alias("in"), "first", "merges",
+        F.coalesce("queue", F.lit(len(own))).alias("queue"),
     )
     here = (tokens["block"] == placed["in"]) & tokens["source"].eqNullSafe(placed["of"])
     rows = tokens.join(placed, here).select(
-        "id", "queue", (F.col("first") + F.col("before")).alias("place"), "count", "ids"
+        "id", "queue", (F.col("first") + F.col("before")).alias("place"), "count", "ids", "merges"
     )
     schema = T.StructType(
         [T.StructField(id, rows.schema["id"].dataType)]
@@ -240,11 +347,23 @@ def packed(
     arrow = arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged = Merges()
+
+        def pieces(queue: int, place: int, count: int, merges: list[dict] | None) -> list[np.ndarray]:
+            if not merges:
+                return schedule.pieces(queue, place, count)
+            parts = merged.placed(merges, place, count)
+            found = [schedule.pieces(queue, at, length) for _, length, at in parts]
+            for (start, _, _), columns in zip(parts, found, strict=True):
+                columns[0] = columns[0] + start
+            return [np.concatenate(c) for c in zip(*found, strict=True)]
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             queues, places, counts = (batch.column(c).to_pylist() for c in range(1, 4))
-            found = [schedule.pieces(*row) for row in zip(queues, places, counts, strict=True)]
+            merges = batch.column(5).to_pylist()
+            found = [pieces(*row) for row in zip(queues, places, counts, merges, strict=True)]
             of = [len(pieces[0]) for pieces in found]
             start, length, sequence, offset = (np.concatenate(c) for c in zip(*found, strict=True))
             owner = np.repeat(np.arange(len(of)), of)

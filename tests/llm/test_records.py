@@ -36,10 +36,11 @@ def test_query_matches_sql(spark, duck, name):
     assert Counter(tuple(str(row[c]) for c in sorted(names)) for row in df.collect()) == theirs
 
 
-@pytest.mark.parametrize("queues", [255, 2])
-@pytest.mark.parametrize("weights", [None, {"s0": 1, "s1": 5, "s2": 2, None: 3}])
+@pytest.mark.parametrize("queues", [255, 2, 0])
+@pytest.mark.parametrize("weights", [None, {"s0": 1, "s1": 5, "s2": 2, None: 3}, {"s1": 4, "absent": 9}])
 def test_packing_is_whole_and_gapless(spark, monkeypatch, queues, weights):
     monkeypatch.setattr(packing, "QUEUES", queues)
+    monkeypatch.setattr(packing, "MEMBERS", 2)
     path = tokens.vocabulary(queries.VOCABULARY)
     texts = [None, "", "x", "word " * 20_000, "a b c " * 3000, "É" * 500] + ["the end " * n for n in range(40)]
     rows = [(i, t, f"s{i % 3}" if i % 4 else None) for i, t in enumerate(texts)]
@@ -75,6 +76,63 @@ def test_full_windows_have_the_target_proportions():
     assert np.abs(takes[:-1] - share).max() < 2
 
 
+def _share_by_hand(totals, weights, tokens):
+    """What each queue has been served after so many tokens, queues running dry one by one."""
+    left, served, open_tokens = list(totals), [0.0] * len(totals), tokens
+    while open_tokens > 1e-6 and any(n > 1e-9 for n in left):
+        live = [q for q, n in enumerate(left) if n > 1e-9]
+        whole = sum(weights[q] for q in live)
+        step = min(open_tokens / whole, *(left[q] / weights[q] for q in live))
+        for q in live:
+            served[q] += step * weights[q]
+            left[q] -= step * weights[q]
+        open_tokens -= step * whole
+    return np.array(served)
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_windows_of_a_thousand_sources_against_shares_by_hand(weighted):
+    rng = np.random.default_rng(7)
+    totals = rng.integers(1, 900, 1000)
+    totals[:3] = 60_000
+    weights = rng.integers(1, 9, 1000) if weighted else totals
+    schedule = packing.Schedule(totals.tolist(), weights.tolist())
+    before = np.zeros(len(totals))
+    for number in range(schedule.segments):
+        begins, _ = schedule.segment(number)
+        takes = np.diff(begins, axis=0)
+        assert (takes.sum(axis=1)[:-1] == packing.LENGTH).all() and (takes >= 0).all()
+        assert takes[-1].sum() <= packing.LENGTH and (begins[0] == before).all()
+        fair = _share_by_hand(totals, weights, number * schedule.quota)
+        assert np.abs(begins[0] - fair).max() <= 1 + 1e-6
+        before = begins[-1]
+    assert (before == totals).all()
+
+
+def test_merged_sources_keep_their_proportions(spark):
+    sizes = {f"s{n:03}": 20 + 7 * (n % 13) for n in range(300)} | {None: 55}
+    sums = spark.createDataFrame(list(sizes.items()), "source string, tokens long")
+    merges = {r["source"]: [m.asDict() for m in r["merges"]] for r in packing._merges(sums).collect()}
+    assert set(merges) == set(sizes)
+    merged, total, taken = packing.Merges(), sum(sizes.values()), {}
+    for source, size in sizes.items():
+        # The same places whether a source is one document or several.
+        whole = merged.placed(merges[source], 0, size)
+        halves = merged.placed(merges[source], 0, size // 2) + merged.placed(merges[source], size // 2, size - size // 2)
+        flat = [[at + k for _, n, at in parts for k in range(n)] for parts in (whole, halves)]
+        assert flat[0] == flat[1] and sum(n for _, n, _ in whole) == size
+        taken.update(dict.fromkeys(flat[0], source))
+    assert sorted(taken) == list(range(total))
+    # Up to any place a source is no further from its proportion than its share of a window of each merge.
+    served = Counter()
+    for at in range(total):
+        if at % packing.LENGTH == 0:
+            for name, size in sizes.items():
+                groups = [sum(m["totals"]) for m in merges[name]]
+                assert abs(served[name] - size * at / total) < sum(packing.LENGTH * size / g + 2 for g in groups)
+        served[taken[at]] += 1
+
+
 def test_preferences_render_the_prefix_once(spark):
     kind = "conv_id long, turn long, role string, text string"
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "q"), (None, None, None, None)]
