@@ -140,7 +140,7 @@ def load_silver(
         return watched
 
     layout = {"bucket_by": merge_keys, "buckets": buckets} if buckets else {}
-    staged = table.stage(clean(raw), partition_by=partition_by, observe=watch, **layout)
+    staged = table.stage(clean(raw), partition_by=partition_by, observe=watch, index_by=merge_keys, **layout)
     checks.run(staged.df, observed=seen[0])
     metrics.rows_written = seen[0].get["total"]
     metrics.dq_checks_passed = checks.summary["passed"]

@@ -23,14 +23,19 @@ _BOUNDED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType)
 #: The folder level, below the partitions, that tells the bucket of a row's keys.
 BUCKET = "_bucket"
 
+#: A source of at most so many keys has them named in the filter on the table's scan.
+NAMED_KEYS = 200
+
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table's rows lie in folders: by values of some columns, then by a hash of others."""
+    """How a table's rows lie in folders: by values of some columns, then by a hash of others.
+    Files have Bloom filters of the columns ``index_by``."""
 
     partition_by: list[str] = field(default_factory=list)
     bucket_by: list[str] = field(default_factory=list)
     buckets: int = 0
+    index_by: list[str] = field(default_factory=list)
 
     @property
     def levels(self) -> list[str]:
@@ -43,6 +48,21 @@ class Layout:
     def placed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn(BUCKET, self.bucket()) if self.buckets else rows
 
+    def file_options(self, schema: T.StructType) -> dict[str, str]:
+        """Parquet options for the Bloom filters, which take the size their values need.
+        Columns that folders are named by, or of types without filters, have none."""
+        indexed = [
+            f.name
+            for f in schema
+            if f.name in self.index_by
+            and f.name not in self.partition_by
+            and isinstance(f.dataType, (T.StringType, T.IntegerType, T.LongType))
+        ]
+        if not indexed:
+            return {}
+        on = {f"parquet.bloom.filter.enabled#{name}": "true" for name in indexed}
+        return {"parquet.bloom.filter.adaptive.enabled": "true", **on}
+
     def reachable(self, folders: list[str], source: DataFrame, keys: list[str]) -> list[str]:
         """The folders that may hold a key of the source: those of its keys' buckets, if the
         merge is on the bucketed columns at least. At most ``buckets`` numbers are collected."""
@@ -127,18 +147,31 @@ class KeyProfile:
 
     bounds: dict[str, tuple[Any, Any]]
     most_rows: int
+    #: The keys themselves, if all are of plain types and ``NAMED_KEYS`` at most.
+    listed: list[dict[str, Any]] | None = None
 
     def within_bounds(self, null_safe: bool) -> Column:
-        """The range the keys span, as a filter that reaches the Parquet scan.
+        """The range the keys span, and the keys if they are few, as a filter that reaches
+        the Parquet scan.
 
-        Files and row groups outside it are skipped by their statistics, which is most
-        of the table if keys grow with time.
+        Files and row groups outside the range are skipped by their statistics, which is most
+        of the table if keys grow with time; of the others, those whose Bloom filters
+        have none of the keys. The keys are tests of equality, not a list: of longer lists
+        Spark hands only the range to Parquet.
         """
         inside = F.lit(True)
         for key, (least, greatest) in self.bounds.items():
             test = named(key).between(F.lit(least), F.lit(greatest))
             inside = inside & (named(key).isNull() | test if null_safe else test)
-        return inside
+        tests = []
+        for row in self.listed or ():
+            pairs = [(named(k), F.lit(v)) for k, v in row.items()]
+            equal = [c.isNull() if row[k] is None else c == v for k, (c, v) in zip(row, pairs)]
+            tests.append(reduce(Column.__and__, equal))
+        while len(tests) > 1:  # a balanced tree, not a deep one
+            halves = [tests[i : i + 2] for i in range(0, len(tests), 2)]
+            tests = [reduce(Column.__or__, half) for half in halves]
+        return inside & tests[0] if tests else inside
 
 
 def profile_keys(
@@ -147,13 +180,17 @@ def profile_keys(
     """Rows per key are counted, which shuffles the keys, only on request."""
     bounded = [k for k in keys if isinstance(source.schema[k].dataType, _BOUNDED)]
     rows = keyed(source.select(*map(named, keys)), keys, null_safe)
+    whole = rows
     if count_rows:
         rows = rows.groupBy(*map(named, keys)).agg(F.count(F.lit(1)).alias("__rows"))
     else:
         rows = rows.withColumn("__rows", F.lit(1))
     ends = [F.struct(F.min(named(k)), F.max(named(k))) for k in bounded]
-    *found, most = rows.agg(*ends, F.max("__rows")).first()
-    return KeyProfile({k: tuple(end) for k, end in zip(bounded, found)}, most or 0)
+    *found, most, n_keys = rows.agg(*ends, F.max("__rows"), F.count(F.lit(1))).first()
+    listed = None
+    if 0 < n_keys <= NAMED_KEYS and bounded == list(keys):
+        listed = [row.asDict() for row in whole.collect()] if (most or 0) <= 1 else None
+    return KeyProfile({k: tuple(end) for k, end in zip(bounded, found)}, most or 0, listed)
 
 
 def repeated_key(source: DataFrame, keys: list[str], null_safe: bool) -> dict[str, Any]:

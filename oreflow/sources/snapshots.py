@@ -70,10 +70,11 @@ class Snapshot:
     buckets: int = 0
     #: The last batch of each stream that has been merged in.
     applied: dict[str, int] = field(default_factory=dict)
+    index_by: list[str] = field(default_factory=list)
 
     @property
     def layout(self) -> Layout:
-        return Layout(self.partition_by, self.bucket_by, self.buckets)
+        return Layout(self.partition_by, self.bucket_by, self.buckets, self.index_by)
 
     @property
     def schema(self) -> T.StructType:
@@ -84,10 +85,15 @@ class Snapshot:
         return datetime.fromisoformat(self.committed_at)
 
 
-def _layout(partition_by: list[str] | None, bucket_by: list[str] | None, buckets: int) -> Layout:
+def _layout(
+    partition_by: list[str] | None,
+    bucket_by: list[str] | None,
+    buckets: int,
+    index_by: list[str] | None,
+) -> Layout:
     if bool(bucket_by) != bool(buckets):
         raise ValueError("bucket_by and buckets go together")
-    return Layout(list(partition_by or []), list(bucket_by or []), buckets)
+    return Layout(list(partition_by or []), list(bucket_by or []), buckets, list(index_by or []))
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -205,7 +211,7 @@ class SnapshotTable:
         per partition value and bucket. Without rows there is none."""
         folder = f"{_BATCH}=b{uuid.uuid4().hex[:16]}"
         rows = rebalance(layout.placed(df), layout.levels)
-        writer = (observe(rows) if observe else rows).write
+        writer = (observe(rows) if observe else rows).write.options(**layout.file_options(df.schema))
         if layout.levels:
             writer = writer.partitionBy(*layout.levels)
         writer.parquet(f"{self.path}/{folder}")
@@ -248,13 +254,14 @@ class SnapshotTable:
         ignore_extra: bool = True,
         bucket_by: list[str] | None = None,
         buckets: int = 0,
+        index_by: list[str] | None = None,
     ) -> Staged:
         """Write rows without publishing them, to be checked and then passed to
         ``write`` or ``upsert``. ``observe`` may attach an observation to the rows; it
         sits right before the write, after any shuffle. The layout holds for a new table;
         an existing one keeps its own."""
         current = self._latest()
-        layout = current.layout if current else _layout(partition_by, bucket_by, buckets)
+        layout = current.layout if current else _layout(partition_by, bucket_by, buckets, index_by)
         rows = self._conform(df, current, merge_schema, require_all, ignore_extra)
         schema = _nullable(rows.schema)
         folders = self._put(rows, layout, observe)
@@ -271,12 +278,14 @@ class SnapshotTable:
         merge_schema: bool = False,
         bucket_by: list[str] | None = None,
         buckets: int = 0,
+        index_by: list[str] | None = None,
     ) -> Snapshot | None:
         """Modes append, overwrite, error and ignore (the last two if the table exists).
 
         An append may leave columns out and, with ``merge_schema``, bring new ones; rows
         on the other side read as NULL there. ``overwrite_schema`` lets an overwrite
-        change columns and partitioning.
+        change columns and partitioning. The files of a new table get Bloom filters of the
+        columns ``index_by``, by which a merge of few keys skips those without them.
         """
         current = self._latest()
         if current and mode in ("error", "errorifexists"):
@@ -286,7 +295,7 @@ class SnapshotTable:
         if mode not in ("append", "overwrite", "error", "errorifexists", "ignore"):
             raise ValueError(f"unknown mode {mode!r}")
         if current and mode == "overwrite" and overwrite_schema:
-            layout = _layout(partition_by, bucket_by, buckets)
+            layout = _layout(partition_by, bucket_by, buckets, index_by)
             folders, schema = self._put(df, layout), _nullable(df.schema)
             return self._commit("overwrite", schema, layout, folders, current)
         staged = df
@@ -299,6 +308,7 @@ class SnapshotTable:
                 ignore_extra=False,
                 bucket_by=bucket_by,
                 buckets=buckets,
+                index_by=index_by,
             )
         kept = current.folders if current and mode == "append" else []
         folders = [*kept, *staged.folders]
@@ -334,7 +344,8 @@ class SnapshotTable:
         error; ``unique_source`` skips that check for a source known to have none.
 
         A new table may get ``buckets``: its rows lie in so many folders by a hash of the
-        merge keys, and later merges on them read and rewrite only their keys' buckets.
+        merge keys, and later merges on them read and rewrite only their keys' buckets. Its
+        files get Bloom filters of the merge keys.
         ``batch``, a stream and a batch number, makes a merge happen once: a batch that is
         not after the stream's last one changes nothing.
         """
@@ -349,7 +360,14 @@ class SnapshotTable:
             staged = self._stage_aside(df, current, merge_keys)
         else:
             bucket_by = merge_keys if buckets else None
-            staged = self.stage(df, partition_by, merge_schema, bucket_by=bucket_by, buckets=buckets)
+            staged = self.stage(
+                df,
+                partition_by,
+                merge_schema,
+                bucket_by=bucket_by,
+                buckets=buckets,
+                index_by=merge_keys,
+            )
 
         def commit(schema: T.StructType, layout: Layout, folders: list[str]) -> Snapshot:
             return self._commit("upsert", schema, layout, folders, current, applied)

@@ -144,6 +144,20 @@ def upsert_bucketed(spark, sf_dir):
     return orders.read()
 
 
+def upsert_text_pruned(spark, sf_dir):
+    """The last day's changes into a table with hashes for keys, written status by status."""
+    base, changes = base_and_changes(spark, sf_dir)
+    key = F.md5(F.col("o_orderkey").cast("string"))
+    orders = SnapshotTable(spark, scratch_path(spark, "orders"))
+    for status in ("F", "O"):
+        part = base.filter(F.col("o_orderstatus") == status)
+        orders.write(part.withColumn("text_key", key), index_by=["text_key"])
+    last = changes.agg(F.max("o_orderdate").alias("last"))
+    latest = changes.join(F.broadcast(last), F.col("o_orderdate") == F.col("last")).drop("last")
+    orders.upsert(latest.withColumn("text_key", key), ["text_key"])
+    return orders.read()
+
+
 def upsert_columns(spark, sf_dir):
     return loaded(spark, sf_dir, update_columns=["o_orderpriority"])[0].read()
 
@@ -363,4 +377,15 @@ ENTRIES |= {
     "upsert_text_keys": (upsert_text_keys, ENTRIES["upsert_columns"][1]),
     "upsert_text_keys_delete": (upsert_text_keys_delete, ENTRIES["upsert_delete"][1]),
 }
+ENTRIES |= {
+    "upsert_text_pruned": (
+        upsert_text_pruned,
+        _TABLES
+        + """, latest AS (
+               SELECT * FROM changes WHERE o_orderdate = (SELECT max(o_orderdate) FROM changes))
+             SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS text_key FROM (
+               SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM latest)
+               UNION ALL SELECT * FROM latest)""",
+    )
+}
 ENTRIES |= {"upsert_bucketed": (upsert_bucketed, ENTRIES["upsert"][1])}
