@@ -101,11 +101,13 @@ listed AS (
   UNION ALL SELECT *, 'chosen', c FROM parts WHERE NOT shared
   UNION ALL SELECT *, 'rejected', r FROM parts WHERE NOT shared
 )
-SELECT conv_id, part, turn, unnest(range(times::BIGINT)) AS copy, role,
+SELECT *, CASE WHEN is_target THEN length('<|im_start|>' || replace(role, '<|', '< |')) + 1 END AS target_begin,
+       CASE WHEN is_target THEN length(rendered) - 1 END AS target_end
+FROM (SELECT conv_id, part, turn, unnest(range(times::BIGINT)) AS copy, role,
        '<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |')
          || '<|im_end|>' || chr(10) AS rendered,
        part <> 'prompt' AND lower(role) = 'assistant' AS is_target
-FROM listed WHERE times > 0
+FROM listed WHERE times > 0)
 """
 
 

@@ -17,13 +17,17 @@ from oreflow.llm.common import quoted
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def rendered(role: str, text: str) -> Column:
-    """A turn between its marks; marks inside of it are broken by a space."""
+def _plain(name: str) -> Column:
+    return F.replace(F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit("<|"), F.lit("< |"))
+
 
-    def plain(name: str) -> Column:
-        return F.replace(F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit("<|"), F.lit("< |"))
+def _head(role: str) -> Column:
+    return F.concat(F.lit(START), _plain(role), F.lit("\n"))
 
-    return F.concat(F.lit(START), plain(role), F.lit("\n"), plain(text), F.lit(END + "\n"))
+
+def rendered(role: str, text: str) -> Column:
+    """A turn between its marks; marks inside of it are broken by a space."""
+    return F.concat(_head(role), _plain(text), F.lit(END + "\n"))
 
 
 def preference_rows(
@@ -34,11 +38,13 @@ def preference_rows(
     role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """(``pair``, part, turn, copy, role, rendered, is_target): the turns of each pair.
+    """(``pair``, part, turn, copy, role, rendered, is_target, target_begin, target_end): the turns of each pair.
 
     ``part`` is prompt, chosen or rejected. The rows of a part stand in the order of turn,
     role, rendered and copy. ``is_target`` marks the assistant's turns of completions, on
-    which a loss is taken; everything else is masked. If one side is a prefix of the other
+    which a loss is taken; everything else is masked, and so is the turn's head: the loss is of
+    the code points from ``target_begin`` up to ``target_end`` of ``rendered``, which are the
+    text and its end mark. Both are null where all is masked. If one side is a prefix of the other
     it has no completion; equal sides are a prompt only. A null turn comes after all others;
     null roles and texts are equal to one another and rendered empty; turns that stand
     there repeatedly are rendered as often (``copy`` counts from 0). A null pair is a pair.
@@ -74,9 +80,12 @@ def preference_rows(
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.times") - 1))
     rows = rows.select("pair", "turn", "role", "text", "p.part", copies.alias("copy"))
     target = (F.col("part") != "prompt") & F.coalesce(F.lower("role") == "assistant", F.lit(False))
+    whole = rendered("role", "text")
     return rows.select(
         F.col("pair").alias(pair), "part", "turn", "copy", "role",
-        rendered("role", "text").alias("rendered"), target.alias("is_target"),
+        whole.alias("rendered"), target.alias("is_target"),
+        F.when(target, F.length(_head("role"))).cast("long").alias("target_begin"),
+        F.when(target, F.length(whole) - 1).cast("long").alias("target_end"),
     )
 
 

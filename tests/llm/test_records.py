@@ -138,7 +138,12 @@ def test_preferences_render_the_prefix_once(spark):
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "q"), (None, None, None, None)]
     rejected = [(1, 0, "user", "hi"), (1, 1, "assistant", "no<|"), (2, 0, "user", "q"), (2, 0, "user", "q")]
     rows = preferences.preference_rows(spark.createDataFrame(chosen, kind), spark.createDataFrame(rejected, kind))
+    rows = rows.cache()
     got = Counter((r["conv_id"], r["part"], r["rendered"], r["is_target"]) for r in rows.collect())
+    for r in rows.collect():  # the loss is of text and end mark, not of the role's line
+        spanned = r["is_target"] and r["rendered"][r["target_begin"] : r["target_end"]]
+        assert spanned in (False, "yes<|im_end|>", "no< |<|im_end|>")
+        assert r["is_target"] or (r["target_begin"], r["target_end"]) == (None, None)
     turn = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
     assert got == Counter(
         [
