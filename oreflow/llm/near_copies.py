@@ -1,15 +1,21 @@
-"""Near copies by word shingles: candidates by MinHash bands, an exact check of each.
+"""Near copies by SimHash: wide fingerprints, an index of byte positions, an exact check.
 
 Two texts are near copies if their sets of ``SHINGLE``-word shingles have a Jaccard
-similarity of ``LEAST`` or more. Of a text's shingles the lowest under each of
-``BANDS * ROWS`` hash functions are kept; texts that agree in all rows of a band share a
-list. Texts of similarity s share one with probability 1 - (1 - s**ROWS)**BANDS, which is
-0.99994 at 0.8. Within a list all texts are compared by their shingles, so no pair is
-linked that is less similar.
-
-Equal texts (by their words) are one entry from the start. Lists that have the same members
-are one list. A list is compared where its members meet, and gives a star per connected part
-instead of its pairs; one of more than ``BLOCK`` members is dealt out by pairs of blocks.
+similarity of ``LEAST`` or more. A bit of a text's fingerprint is set if over half of the
+shingles' hashes have it. At similarity 0.8 about 15 % of the bits differ, 10 of 64, so the
+few bits of ``simhash.py`` do not do here: a fingerprint has 272 bytes. It is posted under
+each pair of neighbours of its first 256 bytes, and a list holds the fingerprints that share
+both bytes at these positions; texts of similarity 0.8 share one with probability 0.9999
+(0.999 if they have 12 shingles in common or fewer). The last 16 bytes travel with each
+posting. Within a list the half bytes that a pair shares there are tallied, pairs that reach
+``MIN_SHARED`` are retained, and their bits compared.
+
+Fingerprints that are linked so, over others too, form a group. All texts of a group are
+then compared by their shingles, so no pair is linked that is less similar than ``LEAST``.
+A group of more than ``BLOCK`` texts is dealt out by pairs of blocks. Equal texts (by their
+words) are one entry from the start. Lists and blocks give a star per connected part instead
+of its pairs. The bits of four shingles swing most; texts of five shingles are also linked to
+those that have four of them by the sums of their hashes, without the index.
 """
 
 from __future__ import annotations
@@ -33,16 +39,30 @@ from oreflow.llm.common import (
     with_fields,
 )
 from oreflow.llm.components import components
+from oreflow.llm.simhash import _Parts
 
 SHINGLE = 5
 #: The least similarity, as a fraction.
 LEAST = (4, 5)
-BANDS = 32
-ROWS = 6
-#: Members of a list that are compared in one task with those of one other block.
+#: Pairs of bytes of a fingerprint that it is posted under.
+LISTS = 128
+#: Bytes of a fingerprint that its postings carry, and of those: the half bytes that a pair
+#: shares at least, and the bits that differ at most.
+CARRIED = 16
+MIN_SHARED = 5
+MAX_BITS = 38
+#: Lists up to this length are compared all at once, longer ones member by member.
+SHORT_LIST = 256
+#: Members of a group that are compared in one task with those of one other block.
 BLOCK = 2048
-_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_SHINGLES_AT_ONCE = 1024
+_BYTES = 2 * LISTS + CARRIED
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, (2, _BYTES // 8), np.uint64) * np.uint64(2) + np.uint64(1)
+#: The bits of a byte, each in a byte of its own.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+_HALF = np.uint64(32)
+#: Hashes that can be added up in a byte.
+_AT_ONCE = 255
+_POSTED_AT_ONCE = 256
 #: Bytes of text whose words a task holds at once, but for a longer text.
 SLICE = 1 << 20
 
@@ -61,33 +81,143 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 7) for s in joined), np.uint64, n))
 
 
+def _widened(hashes: np.ndarray) -> np.ndarray:
+    """As many bytes of each hash as a fingerprint has."""
+    wide = hashes[:, None] * _FACTORS[0]
+    wide ^= wide >> _HALF
+    wide *= _FACTORS[1]
+    wide ^= wide >> _HALF
+    return wide.view(np.uint8)
+
+
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The bytes of the SimHash of a text's shingles; zero without shingles."""
+    counts = np.zeros(8 * _BYTES, np.int64)
+    for at in range(0, len(hashes), _AT_ONCE):
+        spread = _SPREAD.take(_widened(hashes[at : at + _AT_ONCE]), mode="clip")
+        counts += spread.sum(axis=0).view(np.uint8)
+    return np.packbits(2 * counts > len(hashes))
+
+
+def _keys(prints: np.ndarray) -> np.ndarray:
+    """The keys of the lists of each fingerprint: the list's number and its two bytes."""
+    return prints[:, : 2 * LISTS].copy().view(np.uint16) + (np.arange(LISTS, dtype=np.int32) << 16)
+
+
 def bands(hashes: np.ndarray) -> list[int]:
-    """The keys of a text's lists as signed longs; none without shingles."""
-    if not len(hashes):
-        return []
-    lowest = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), _SHINGLES_AT_ONCE):
-        part = hashes[None, at : at + _SHINGLES_AT_ONCE] * _FACTORS[:, None]
-        np.minimum(lowest, part.min(axis=1), out=lowest)
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(lowest.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
-def _with_bands(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``node``, a hash of the text's words, and ``keys``, those of its lists."""
-    schema = with_fields(rows.schema, [("node", "long"), ("keys", "array<bigint>")])
+    """The keys of the lists of a text's fingerprint; none without shingles."""
+    return _keys(fingerprint(hashes)[None])[0].tolist() if len(hashes) else []
+
+
+def _carried(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two numbers that the postings of each fingerprint carry."""
+    found = prints[:, 2 * LISTS :].copy().view(np.uint64)
+    return found[:, 0], found[:, 1]
+
+
+def _entry(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """One signed long for both numbers."""
+    return (high ^ low * _FACTORS[0, 0]).view(np.int64)
+
+
+def _fours(hashes: np.ndarray) -> list[int] | None:
+    """The sums of the hashes of each four of four or five shingles."""
+    if len(hashes) not in (4, 5):
+        return None
+    total = hashes.sum(keepdims=True)
+    return (total if len(hashes) == 4 else total - hashes).view(np.int64).tolist()
+
+
+def _with_fingerprints(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``node``, a hash of the text's words, and what its shingles give (null without words)."""
+    fields = [("node", "long"), ("print", "binary"), ("entry", "long"), ("fours", "array<bigint>")]
+    schema = with_fields(rows.schema, fields)
     arrow, at = arrow_schema(schema), rows.columns.index("text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices_of(whole, at, SLICE)):
-            words = [words_of(t.as_py()) for t in batch.column(at)]
-            nodes = np.array([xxhash.xxh64_intdigest(b" ".join(w), 7) for w in words], np.uint64)
-            keys = pa.array([bands(shingles(w)) for w in words], pa.list_(pa.int64()))
-            yield with_arrays(batch, arrow, {"node": nodes.view(np.int64), "keys": keys})
+            prints = np.zeros((batch.num_rows, _BYTES), np.uint8)
+            nodes, empty, fours = [], [], []
+            for i, text in enumerate(batch.column(at)):
+                words = words_of(text.as_py())
+                hashes = shingles(words)
+                prints[i] = fingerprint(hashes)
+                nodes.append(xxhash.xxh64_intdigest(b" ".join(words), 7))
+                empty.append(not words)
+                fours.append(_fours(hashes))
+            found = {
+                "node": np.array(nodes, np.uint64).view(np.int64),
+                "print": pa.array([None if none else p.tobytes() for none, p in zip(empty, prints, strict=True)], pa.binary()),
+                "entry": _entry(*_carried(prints)),
+                "fours": pa.array(fours, pa.list_(pa.int64())),
+            }
+            yield with_arrays(batch, arrow, found)
 
     return rows.mapInArrow(add, schema)
 
 
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, high, low) of (print)."""
+    for batch in (b.slice(at, _POSTED_AT_ONCE) for b in batches for at in range(0, b.num_rows, _POSTED_AT_ONCE)):
+        prints = np.array([np.frombuffer(p.as_py(), np.uint8) for p in batch.column(0)])
+        carried = [pa.array(np.repeat(c.view(np.int64), LISTS)) for c in _carried(prints)]
+        yield pa.RecordBatch.from_arrays([pa.array(_keys(prints).ravel()), *carried], names=["key", "high", "low"])
+
+
+def alike(high: np.ndarray, low: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+    """Whether the members ``i`` and ``j`` share enough half bytes and differ in few enough bits."""
+    apart = np.stack([high[i] ^ high[j], low[i] ^ low[j]])
+    touched = apart | apart >> np.uint64(1)
+    touched = (touched | touched >> np.uint64(2)) & np.uint64(0x1111111111111111)
+    near = 2 * CARRIED - np.bitwise_count(touched).sum(axis=0, dtype=np.int64) >= MIN_SHARED
+    near[near] = np.bitwise_count(apart[:, near]).sum(axis=0, dtype=np.int64) <= MAX_BITS
+    return near
+
+
+def _link_long_list(high: np.ndarray, low: np.ndarray, start: int, end: int, parts: _Parts) -> None:
+    """Link the members from ``start`` to ``end`` in ``parts``; connected ones are not compared."""
+    for i in range(start, end - 1):
+        other = np.flatnonzero(parts.root[i + 1 : end] != parts.root[i]) + i + 1
+        near = other[alike(high, low, i, other)]
+        if len(near):
+            root = parts.root[start:end]
+            joined = np.append(parts.root[near], parts.root[i])
+            root[np.isin(root, joined)] = joined.min()
+            if (root == root[0]).all():
+                return
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): links of the entries of each list; the rows are sorted by key."""
+    for batch in runs_of(batches, "key"):
+        keys = batch.column("key").to_numpy()
+        high, low = (batch.column(c).to_numpy().view(np.uint64) for c in ("high", "low"))
+        starts = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+        sizes = np.diff(starts, append=len(keys))
+        parts = _Parts(len(keys))
+        for start, size in zip(starts[sizes > SHORT_LIST], sizes[sizes > SHORT_LIST], strict=True):
+            _link_long_list(high, low, start, start + size, parts)
+        ends = np.repeat(np.where(sizes > SHORT_LIST, 0, starts + sizes), sizes)
+        at, step = np.arange(len(keys)), 1
+        while len(at := at[at + step < ends[at]]):
+            apart = at[parts.root[at] != parts.root[at + step]]
+            near = apart[alike(high, low, apart, apart + step)]
+            if len(near):
+                parts.link(near, near + step)
+            step += 1
+        leaves = np.flatnonzero(parts.root != np.arange(len(keys)))
+        if len(leaves):
+            entries = _entry(high, low)
+            columns = [pa.array(entries[i]) for i in (leaves, parts.root[leaves])]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def linked_entries(nodes: DataFrame) -> DataFrame:
+    """(a, b): links of the entries whose fingerprints (``print``) meet in a list and are alike."""
+    postings = nodes.select("print").where("print IS NOT NULL").mapInArrow(_postings, "key int, high long, low long")
+    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "a long, b long")
+
+
 def _with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, shingles) of (node, text)."""
     for batch in (part for whole in batches for part in slices_of(whole, 1, SLICE)):
@@ -126,7 +256,7 @@ def linked(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b): links within each part of a list; the rows are sorted by part."""
+    """(a, b): links within each part of a group; the rows are sorted by part."""
     for batch in runs_of(batches, "part"):
         parts = batch.column("part").to_numpy()
         nodes = batch.column("node").to_numpy()
@@ -144,27 +274,33 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
+def _linked_fives(nodes: DataFrame) -> DataFrame:
+    """(a, b): links of texts of five shingles, or of the same four, to one of four of them."""
+    sums = nodes.select("node", F.explode("fours").alias("sum"), (F.size("fours") == 1).alias("four"))
+    fours = sums.where("four").groupBy("sum").agg(F.min("node").alias("b"))
+    return sums.join(fours, "sum").select(F.col("node").alias("a"), "b")
+
+
 def _linked_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): links that connect all different texts that are near copies."""
-    postings = nodes.select("node", F.explode("keys").alias("key"))
-    lists = postings.groupBy("key").agg(
-        F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("node")).alias("x"),
-        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-    )
-    lists = lists.where("members > 1").groupBy("members", "x", "y").agg(F.min("key").alias("key"))
+    """(a, b): links that connect all texts of a group of fingerprints that are near copies."""
+    groups = components(linked_entries(nodes), "near-prints").withColumnRenamed("node", "of")
+    members = nodes.where("print IS NOT NULL").select("node", "entry", "first.row_in_run")
+    members = members.join(groups, members["entry"] == groups["of"], "left")
+    members = members.select("node", "row_in_run", F.coalesce("root", "entry").alias("key"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    listed = postings.join(lists, "key").select(
-        "node", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "key"), blocks).cast("int").alias("own")
+    members = members.join(sizes, "key").select(
+        "node", "row_in_run", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "key"), blocks).cast("int").alias("own")
     )
-    listed = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = saved(members, "near-groups")
+    listed = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     part = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    listed = saved(listed.select("node", part.alias("part")), "near-lists")
-    wanted = listed.select("node").distinct().join(nodes, "node").select("node", "first.row_in_run")
-    texts = rows.select("row_in_run", "text").join(wanted, "row_in_run").select("node", "text")
-    sets = texts.mapInArrow(_with_shingles, "node long, shingles array<bigint>")
+    listed = listed.select("node", part.alias("part"))
+    texts = rows.select("row_in_run", "text").join(members.select("node", "row_in_run"), "row_in_run")
+    sets = texts.select("node", "text").mapInArrow(_with_shingles, "node long, shingles array<bigint>")
     met = listed.join(sets, "node").select("part", "node", "shingles")
-    return met.repartition("part").sortWithinPartitions("part").mapInArrow(_links, "a long, b long")
+    links = met.repartition("part").sortWithinPartitions("part").mapInArrow(_links, "a long, b long")
+    return links.union(_linked_fives(nodes))
 
 
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,13 +309,14 @@ def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     The row with the smallest id stays (null ids come last; the earliest among repeated
     rows). Texts without words are equal, also null. Texts are read whole.
 
-    Written to the work folder: the rows with the keys of their lists, an entry per different
-    text, the members of lists with several, and the rounds of the components.
+    Written to the work folder: the rows with their fingerprints, a row per different text,
+    the members of groups of several, and the rounds of the components.
     """
-    rows = _with_bands(packed_rows(docs, text, id))
+    rows = _with_fingerprints(packed_rows(docs, text, id))
     rows = saved(rows.withColumn("row_in_run", F.monotonically_increasing_id()), "near-copies")
     first = F.min(F.struct(F.col("id").isNull(), "id", "row_in_run")).alias("first")
-    nodes = saved(rows.groupBy("node").agg(first, F.any_value("keys").alias("keys")), "near-nodes")
+    prints = [F.any_value(c).alias(c) for c in ("print", "entry", "fours")]
+    nodes = saved(rows.groupBy("node").agg(first, *prints), "near-nodes")
     roots = components(_linked_nodes(rows, nodes), "near-links").withColumnRenamed("node", "of")
     grouped = nodes.join(roots, nodes["node"] == roots["of"], "left")
     kept = grouped.groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
