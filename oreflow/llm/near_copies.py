@@ -63,6 +63,7 @@ _HALF = np.uint64(32)
 #: Hashes that can be added up in a byte.
 _AT_ONCE = 255
 _POSTED_AT_ONCE = 256
+_LINKS_AT_ONCE = 1 << 18
 #: Bytes of text whose words a task holds at once, but for a longer text.
 SLICE = 1 << 20
 
@@ -212,10 +213,33 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of ``_met``, a star per connected part of those of many lists."""
+    held, size = [], 0
+    for batch in _met(batches):
+        held.append(batch)
+        size += batch.num_rows
+        if size >= _LINKS_AT_ONCE:
+            yield _star_of(held)
+            held, size = [], 0
+    if held:
+        yield _star_of(held)
+
+
+def _star_of(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    links = np.concatenate([np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches], axis=1)
+    entries, places = np.unique(links, return_inverse=True)
+    parts = _Parts(len(entries))
+    parts.link(*places.reshape(2, -1))
+    leaves = np.flatnonzero(parts.root != np.arange(len(entries)))
+    columns = [pa.array(entries[i]) for i in (leaves, parts.root[leaves])]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 def linked_entries(nodes: DataFrame) -> DataFrame:
     """(a, b): links of the entries whose fingerprints (``print``) meet in a list and are alike."""
     postings = nodes.select("print").where("print IS NOT NULL").mapInArrow(_postings, "key int, high long, low long")
-    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "a long, b long")
+    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(_stars, "a long, b long")
 
 
 def _with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
